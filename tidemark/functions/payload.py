@@ -75,6 +75,12 @@ def kind_of_shape(shape: Column) -> Column:
     )
 
 
+def number_text(shape: Column, text: Column) -> Column:
+    """Number text as written: VARIANT drops the ``.0`` that tells 112.0 from 112."""
+    is_cut = shape.startswith("DECIMAL(") & ~text.contains(".") & ~is_wide_integer(shape)
+    return F.when(is_cut, F.concat(text, F.lit(".0"))).otherwise(text)
+
+
 def display_text(kind: Column, text: Column) -> Column:
     """Scalar as the details show it: True/False, 1.0, None; nested values as JSON text."""
     return (

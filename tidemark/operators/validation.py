@@ -19,8 +19,7 @@ from tidemark import contract, schemas
 from tidemark.functions import isotime, numbers, payload
 from tidemark.functions.binding import out_of_line
 
-BRONZE_COLUMNS = schemas.BRONZE.names
-PAYLOAD_FIELDS = tuple(c for c in BRONZE_COLUMNS if c not in ("event_date", "_validated_at", "_is_late_arrival"))
+PAYLOAD_FIELDS = tuple(c for c in schemas.BRONZE.names if c not in ("event_date", "_validated_at", "_is_late_arrival"))
 _SECOND = 1_000_000
 
 
@@ -52,7 +51,6 @@ def _extract(raw: DataFrame) -> DataFrame:
     def shape(name: str) -> Column:
         return F.schema_of_variant(payload.field(doc, name))
 
-    is_order = F.col("event_type") == "order_placed"
     return fields.select(
         "value",
         "arrived_at",
@@ -66,8 +64,8 @@ def _extract(raw: DataFrame) -> DataFrame:
         F.when(F.col("event_timestamp").rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), "STRING")
         .otherwise(shape("event_timestamp"))
         .alias("_time_shape"),
-        F.when(is_order, shape("quantity")).alias("_quantity_shape"),
-        F.when(is_order, shape("unit_price")).alias("_price_shape"),
+        shape("quantity").alias("_quantity_shape"),
+        shape("unit_price").alias("_price_shape"),
     )
 
 
@@ -160,12 +158,16 @@ def judge(raw: DataFrame) -> DataFrame:
 
 
 def valid_events(judged: DataFrame) -> DataFrame:
-    """Valid rows in bronze shape, with ``ingest_date``."""
+    """Valid rows in bronze shape, with ``ingest_date``; the same rows as the stored lines."""
+    amounts = {"quantity": "_quantity_shape", "unit_price": "_price_shape"}
     return judged.where("reject_reason IS NULL").select(
-        *PAYLOAD_FIELDS,
+        *[
+            payload.number_text(F.col(amounts[c]), F.col(c)).alias(c) if c in amounts else c
+            for c in PAYLOAD_FIELDS
+        ],
         *_enrichment(),
         F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date"),
-    ).select(*BRONZE_COLUMNS, "ingest_date")
+    )
 
 
 def _enrichment() -> list[Column]:

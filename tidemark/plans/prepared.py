@@ -1,37 +1,34 @@
-"""Lakehouses built once per session and input, and shared by the queries on top."""
+"""Stored tables built once per session and input, and shared by the queries on top."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators import silver, validation
 from tidemark.plans.lakehouse import Lakehouse
 from tidemark.session import configure, new_shared_path
-from tidemark.sources import samples
+from tidemark.sinks import writers
+from tidemark.sources import samples, tables
 
-PAYLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "events": samples.events_as_payloads,
-    "order_lines": samples.order_lines_as_payloads,
-}
 _STEPS_UPTO = {
     "ingest": ("ingest",),
     "silver": ("ingest", "silver"),
     "gold": ("ingest", "silver", "gold"),
     "layouts": ("ingest", "silver", "layouts"),
 }
-_built: dict[tuple[str, str, str], tuple[Lakehouse, set[str]]] = {}
+_lakes: dict[tuple[str, str], tuple[Lakehouse, set[str]]] = {}
+_order_lines: dict[tuple[str, str], str] = {}
 
 
-def lakehouse(spark: SparkSession, sf_dir: str, upto: str, payloads: str = "events") -> Lakehouse:
-    """A lakehouse over the given tables, stored in the shared folder up to step ``upto``."""
+def lakehouse(spark: SparkSession, sf_dir: str, upto: str) -> Lakehouse:
+    """A lakehouse over the event log, stored in the shared folder up to step ``upto``."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, payloads)
-    if key not in _built:
-        _built[key] = (Lakehouse(spark, new_shared_path(spark, "lakehouse")), set())
-    lake, done = _built[key]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lakes:
+        _lakes[key] = (Lakehouse(spark, new_shared_path(spark, "lakehouse")), set())
+    lake, done = _lakes[key]
     run = {
-        "ingest": lambda: lake.ingest(PAYLOADS[payloads](spark, sf_dir), "initial"),
+        "ingest": lambda: lake.ingest(samples.events_as_payloads(spark, sf_dir), "initial"),
         "silver": lake.build_silver,
         "gold": lake.build_gold,
         "layouts": lake.build_layouts,
@@ -41,3 +38,18 @@ def lakehouse(spark: SparkSession, sf_dir: str, upto: str, payloads: str = "even
             run[step]()
             done.add(step)
     return lake
+
+
+def order_line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows of the order lines, stored once without day folders.
+
+    The lines span years of days, and several queries read them with different columns.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _order_lines:
+        judged = validation.judge(samples.order_lines_as_payloads(spark, sf_dir))
+        path = new_shared_path(spark, "order-lines")
+        writers.write_table(silver.silver(validation.valid_events(judged)), path)
+        _order_lines[key] = path
+    return tables.read_silver(spark, _order_lines[key])
