@@ -22,7 +22,7 @@ TABLES = {
 
 
 def declare_tables(spark: SparkSession, root: str, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/catalog'")
     for name, (location, kind, columns, partition) in TABLES.items():
         options = f"OPTIONS (timestampFormat \"{JSON_TIMESTAMP}\")" if kind == "json" else ""
         partitioning = f"PARTITIONED BY ({partition})" if partition else ""
