@@ -61,9 +61,11 @@ def test_numbers_match_python(spark):
         + [" 5　", "\xa05", "5\x1f", "-1_0", "+0", "9" * 50, "0x1", "1.5", "1_0.5", "1.", ".", ".5"]
         + ["1E-5", "-3.50", "inf", "nan", "1d", "1f", "0x1p3", "1e400", "--1", "1_.5", "1e1_0", "+.5e3", "-0.0"]
     )
-    kind = F.lit("str")
+    text = F.col("s")
     df = spark.createDataFrame([(t,) for t in texts], "s string").select(
-        "s", numbers.whole_text(kind, F.col("s")).alias("w"), numbers.finite_double(kind, F.col("s")).alias("f")
+        "s",
+        numbers.whole_text(text, F.lit("STRING")).alias("w"),
+        numbers.finite_double(text, F.lit("STRING")).alias("f"),
     )
 
     def attempt(parse, text):

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.binding import let
+from tidemark.functions.payload import kind_of_shape
 
 # Digit groups may be joined by single underscores, and blanks around a number are fine.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
@@ -16,19 +17,19 @@ FLOAT_TEXT = (
 )
 
 
-def whole_text(kind: Column, text: Column) -> Column:
+def whole_text(text: Column, shape: Column) -> Column:
     """A quantity as canonical integer text (``-5``, ``0``, ``12``); NULL if not a number.
 
-    Kept as text so that any length works. Fractions of JSON numbers are cut, text with a
-    fraction is not an integer.
+    ``shape`` is the JSON type. It is looked at only if the text is not a plain integer, which
+    means the same quoted and unquoted. The result is text so that any length works. Fractions
+    of JSON numbers are cut, text with a fraction is not an integer.
     """
-    return F.when(kind == "int", text).otherwise(
-        let(F.struct(kind.alias("kind"), text.alias("text")), lambda v: _odd_whole(v["kind"], v["text"]))
-    )
+    odd = let(F.struct(text.alias("text"), shape.alias("shape")), lambda v: _odd_whole(v["text"], v["shape"]))
+    return F.when(text.try_cast("bigint").cast("string") == text, text).otherwise(odd)
 
 
-def _odd_whole(kind: Column, text: Column) -> Column:
-    number = text.try_cast("double")
+def _odd_whole(text: Column, shape: Column) -> Column:
+    kind, number = kind_of_shape(shape), text.try_cast("double")
     cut = F.when(
         F.abs(number) < float("inf"),
         F.coalesce(
@@ -36,7 +37,8 @@ def _odd_whole(kind: Column, text: Column) -> Column:
         ),
     )
     digits = (
-        F.when(kind == "bool", F.when(text == "true", "1").otherwise("0"))
+        F.when(kind == "int", text)
+        .when(kind == "bool", F.when(text == "true", "1").otherwise("0"))
         .when((kind == "str") & text.rlike(INTEGER_TEXT), F.regexp_replace(text, r"[^0-9-]", ""))
         .when(kind == "float", cut)
     )
@@ -48,21 +50,27 @@ def is_positive_whole(whole: Column) -> Column:
     return ~(whole.startswith("-") | (whole == "0"))
 
 
-def finite_double(kind: Column, text: Column) -> Column:
-    """A price as a double; NULL if not a number or not finite."""
-    return F.when(kind.isin("int", "float"), _finite(text.try_cast("double"))).otherwise(
-        let(F.struct(kind.alias("kind"), text.alias("text")), lambda v: _odd_double(v["kind"], v["text"]))
-    )
+def finite_double(text: Column, shape: Column) -> Column:
+    """A price as a double; NULL if not a number or not finite.
+
+    ``shape`` is the JSON type, looked at only if the text is not a plain decimal.
+    """
+    odd = let(F.struct(text.alias("text"), shape.alias("shape")), lambda v: _odd_double(v["text"], v["shape"]))
+    is_plain = text.rlike(r"^-?[0-9]+(?:\.[0-9]+)?\z")
+    return F.when(is_plain, _finite(text.try_cast("double"))).otherwise(odd)
 
 
 def _finite(number: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
-def _odd_double(kind: Column, text: Column) -> Column:
+def _odd_double(text: Column, shape: Column) -> Column:
+    kind = kind_of_shape(shape)
     plain = F.regexp_replace(text, r"[^0-9.eE+-]", "")
-    return F.when(kind == "bool", F.when(text == "true", 1.0).otherwise(0.0)).when(
-        (kind == "str") & text.rlike(FLOAT_TEXT), _finite(plain.try_cast("double"))
+    return (
+        F.when(kind.isin("int", "float"), _finite(text.try_cast("double")))
+        .when(kind == "bool", F.when(text == "true", 1.0).otherwise(0.0))
+        .when((kind == "str") & text.rlike(FLOAT_TEXT), _finite(plain.try_cast("double")))
     )
 
 

@@ -1,9 +1,12 @@
-"""Reading untrusted JSON text into a VARIANT, strictly.
+"""Reading untrusted JSON text strictly.
 
-Spark's JSON parsers stop after the first complete value, so ``{"a":1} junk`` parses. To
-see the whole text, each payload is parsed as the first element of
-``[<payload>,<fingerprint of the payload>]``: the second element is the fingerprint only if
-the payload is exactly one JSON value.
+Spark's JSON parsers stop after the first complete value, so ``{"a":1} junk`` parses. To see
+the whole text, a payload is parsed as the first element of an array whose second element is
+a fingerprint of the payload: the fingerprint is found there only if the payload is exactly
+one JSON value.
+
+Fields are read in one pass as text. The JSON types, needed for unusual values only, come
+from a VARIANT parse of those rows.
 """
 
 from __future__ import annotations
@@ -13,22 +16,42 @@ from pyspark.sql import functions as F
 
 BYTE_ORDER_MARK = "\ufeff"
 JSON_SPACE = " \t\n\r"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def envelope(text: Column) -> Column:
-    """VARIANT array holding the payload and its fingerprint; NULL if unparseable."""
-    body = F.when(text.startswith(BYTE_ORDER_MARK), F.substring(text, 2, 2**31 - 1)).otherwise(text)
-    return F.when(
-        F.is_valid_utf8(text),
-        F.try_parse_json(
-            F.concat(F.lit("["), body, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-        ),
-    )
+def _body(text: Column) -> Column:
+    return F.when(text.startswith(BYTE_ORDER_MARK), F.substring(text, 2, 2**31 - 1)).otherwise(text)
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text).cast("string")
+
+
+def read_fields(text: Column, names) -> Column:
+    """``array<struct>``: the payload's fields as text, then the fingerprint.
+
+    A field is NULL when absent or JSON null, and JSON text when nested.
+    """
+    schema = "array<struct<" + ", ".join(f"{n}: string" for n in (*names, "_mark")) + ">>"
+    sealed = F.concat(F.lit("["), _body(text), F.lit(',{"_mark":"'), _mark(text), F.lit('"}]'))
+    return F.from_json(F.when(F.is_valid_utf8(text), sealed), schema, _STRICT)
+
+
+def is_sealed(fields: Column, text: Column) -> Column:
+    """Whether ``read_fields`` saw the fingerprint; never true for a broken payload."""
+    return F.coalesce(F.get(fields, F.lit(1))["_mark"] == _mark(text), F.lit(False))
 
 
-def is_single_value(doc: Column, text: Column) -> Column:
-    mark = F.try_variant_get(doc, "$[1]", "bigint")
-    return F.coalesce(mark == F.xxhash64(text), F.lit(False))
+def is_single_value(text: Column) -> Column:
+    """Whether the payload is exactly one JSON value of any type."""
+    sealed = F.try_parse_json(F.concat(F.lit("["), _body(text), F.lit(","), _mark(text), F.lit("]")))
+    mark = F.try_variant_get(sealed, "$[1]", "string")
+    return F.coalesce(F.is_valid_utf8(text) & (mark == _mark(text)), F.lit(False))
+
+
+def field_shape(text: Column, name: str) -> Column:
+    """``schema_of_variant`` of one field of a payload object."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(_body(text)), f"$.{name}", "variant"))
 
 
 def top_level_kind(text: Column) -> Column:
@@ -46,16 +69,6 @@ def top_level_kind(text: Column) -> Column:
     )
 
 
-def field(doc: Column, name: str) -> Column:
-    """One field of the payload object, as VARIANT."""
-    return F.try_variant_get(doc, f"$[0].{name}", "variant")
-
-
-def field_text(doc: Column, name: str) -> Column:
-    """One field as text; NULL when absent or JSON null, JSON text when nested."""
-    return F.try_variant_get(doc, f"$[0].{name}", "string")
-
-
 def is_wide_integer(shape: Column) -> Column:
     """Whole numbers beyond 64 bits arrive as wide decimals without a fraction."""
     return shape.rlike(r"^DECIMAL\((19|2\d|3\d),0\)$")
@@ -75,18 +88,12 @@ def kind_of_shape(shape: Column) -> Column:
     )
 
 
-def number_text(shape: Column, text: Column) -> Column:
-    """Number text as written: VARIANT drops the ``.0`` that tells 112.0 from 112."""
-    is_cut = shape.startswith("DECIMAL(") & ~text.contains(".") & ~is_wide_integer(shape)
-    return F.when(is_cut, F.concat(text, F.lit(".0"))).otherwise(text)
-
-
 def display_text(kind: Column, text: Column) -> Column:
-    """Scalar as the details show it: True/False, 1.0, None; nested values as JSON text."""
+    """Scalar as the details show it: True/False, 1.0; strings and nested values as they are."""
     return (
         F.when(kind == "bool", F.initcap(text))
         .when(kind == "float", float_text(text.try_cast("double")))
-        .otherwise(F.coalesce(text, F.lit("None")))
+        .otherwise(text)
     )
 
 
