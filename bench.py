@@ -74,7 +74,7 @@ def query(name: str, build, count_bytes: bool = False) -> None:
 def main() -> None:
     # Payload text is stored first so that parsing is measured, not deriving the sample.
     event_path, line_path = new_shared_path(spark, "events"), new_shared_path(spark, "lines")
-    samples.events_as_payloads(spark, SF_DIR).write.parquet(event_path)
+    samples.events_as_payloads(spark, SF_DIR).repartition(int(CPUS)).write.parquet(event_path)
     samples.order_lines_as_payloads(spark, SF_DIR).repartition(int(CPUS)).write.parquet(line_path)
     events, lines = spark.read.parquet(event_path), spark.read.parquet(line_path)
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schemas
 from tidemark.operators import silver as silver_ops
 from tidemark.operators import star, validation
+from tidemark.session import configure
 from tidemark.sinks import writers
 from tidemark.sources import catalog, tables
 
@@ -23,6 +24,9 @@ class Lakehouse:
     spark: SparkSession
     root: str
 
+    def __post_init__(self) -> None:
+        configure(self.spark)
+
     # -- locations ---------------------------------------------------------------------
 
     @property
@@ -55,6 +59,7 @@ class Lakehouse:
         ``keep`` holds the verdicts between the two writes; pass None for a backfill larger
         than the executors' storage, which is then parsed once per write.
         """
+        configure(raw.sparkSession)  # a stream hands over its own session
         judged = validation.judge(raw)
         if keep is not None:
             judged = judged.persist(keep)

@@ -16,7 +16,7 @@ _STEPS_UPTO = {
     "gold": ("ingest", "silver", "gold"),
     "layouts": ("ingest", "silver", "layouts"),
 }
-_lakes: dict[tuple[str, str], tuple[Lakehouse, set[str]]] = {}
+_lakes: dict[tuple[str, str], tuple[str, set[str]]] = {}
 _order_lines: dict[tuple[str, str], str] = {}
 
 
@@ -25,8 +25,9 @@ def lakehouse(spark: SparkSession, sf_dir: str, upto: str) -> Lakehouse:
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _lakes:
-        _lakes[key] = (Lakehouse(spark, new_shared_path(spark, "lakehouse")), set())
-    lake, done = _lakes[key]
+        _lakes[key] = (new_shared_path(spark, "lakehouse"), set())
+    root, done = _lakes[key]
+    lake = Lakehouse(spark, root)
     run = {
         "ingest": lambda: lake.ingest(samples.events_as_payloads(spark, sf_dir), "initial"),
         "silver": lake.build_silver,

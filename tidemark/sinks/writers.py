@@ -7,9 +7,18 @@ from pyspark.sql import DataFrame
 from tidemark.sources.tables import JSON_TIMESTAMP
 
 
+# gzip cannot be split by readers, so no file may grow large.
+_GZIP_RECORDS = 500_000
+
+
 def _replace_own_partitions(df: DataFrame):
     """Overwrite the partitions present in ``df`` and leave all others alone."""
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
+    return (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", _GZIP_RECORDS)
+    )
 
 
 def write_quarantine(rejects: DataFrame, path: str, batch: str) -> None:
