@@ -10,7 +10,7 @@ verdict), so that Catalyst evaluates each costly step once per row.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +48,15 @@ def _extract(raw: DataFrame) -> DataFrame:
     )
 
 
-def _interpret(events: DataFrame) -> DataFrame:
-    """Clock and order amounts; NULL where they cannot be read.
+@cache
+def _readings(application: str) -> dict[str, Column]:
+    """Clock and order amounts, NULL where they cannot be read, and the missing fields.
 
     JSON types are looked up for unusual text only: nothing but a string starts like a
     calendar timestamp, and plain number text means the same with and without quotes.
+
+    Columns are unresolved, so they serve any DataFrame; building this many takes longer than
+    planning them, hence once per application.
     """
     text = F.col("value")
     is_order = F.col("event_type") == "order_placed"
@@ -60,23 +64,21 @@ def _interpret(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == kind, _names_of_blanks(names))
         for kind, names in contract.FIELDS_BY_TYPE.items()
     ]
-    return events.withColumns(
-        {
-            "_parsed": F.col("_sealed") | out_of_line(payload.is_single_value(text)),
-            "_time": isotime.parse_iso(F.col("event_timestamp")),
-            "_time_shape": F.when(F.col("event_timestamp").rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), "STRING").otherwise(
-                out_of_line(payload.field_shape(text, "event_timestamp"))
-            ),
-            "_whole": F.when(
-                is_order, numbers.whole_text(F.col("quantity"), payload.field_shape(text, "quantity"))
-            ),
-            "_price": F.when(
-                is_order, numbers.finite_double(F.col("unit_price"), payload.field_shape(text, "unit_price"))
-            ),
-            "_gaps": _names_of_blanks(contract.REQUIRED_FIELDS),
-            "_type_gaps": F.coalesce(*by_type),
-        }
-    )
+    return {
+        "_parsed": F.col("_sealed") | out_of_line(payload.is_single_value(text)),
+        "_time": isotime.parse_iso(F.col("event_timestamp")),
+        "_time_shape": F.when(F.col("event_timestamp").rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), "STRING").otherwise(
+            out_of_line(payload.field_shape(text, "event_timestamp"))
+        ),
+        "_whole": F.when(
+            is_order, numbers.whole_text(F.col("quantity"), payload.field_shape(text, "quantity"))
+        ),
+        "_price": F.when(
+            is_order, numbers.finite_double(F.col("unit_price"), payload.field_shape(text, "unit_price"))
+        ),
+        "_gaps": _names_of_blanks(contract.REQUIRED_FIELDS),
+        "_type_gaps": F.coalesce(*by_type),
+    }
 
 
 def _failed_rules() -> list[tuple[str, Column]]:
@@ -130,18 +132,38 @@ def _details() -> dict[str, Column]:
     }
 
 
+def _case(branches) -> Column:
+    """CASE WHEN over (condition, value) pairs; NULL when none holds."""
+    (condition, value), *rest = branches
+    return reduce(lambda case, branch: case.when(*branch), rest, F.when(condition, value))
+
+
+@cache
+def _verdict(application: str) -> Column:
+    return _case([(failed, reason) for reason, failed in _failed_rules()])
+
+
+@cache
+def _detail(application: str) -> Column:
+    reason = F.col("reject_reason")
+    return out_of_line(_case([(reason == name, detail) for name, detail in _details().items()]))
+
+
+def _application(df: DataFrame) -> str:
+    return df.sparkSession.sparkContext.applicationId
+
+
 def judge(raw: DataFrame) -> DataFrame:
     """Raw payloads with their verdict.
 
     Adds ``reject_reason`` (NULL when valid), the payload fields as text, and the working
     columns the shaping functions below need.
     """
-    events = _interpret(_extract(raw))
-    first, *rest = _failed_rules()
-    verdict = reduce(lambda case, rule: case.when(rule[1], rule[0]), rest, F.when(first[1], first[0]))
+    application = _application(raw)
+    events = _extract(raw).withColumns(_readings(application))
     # The one-element explode is a fence: without it the optimizer pushes every filter on the
     # verdict below the projections and evaluates the whole stack a second time, inlined.
-    return events.withColumn("reject_reason", F.explode(F.array(verdict)))
+    return events.withColumn("reject_reason", F.explode(F.array(_verdict(application))))
 
 
 def valid_events(judged: DataFrame) -> DataFrame:
@@ -187,14 +209,9 @@ def bronze_lines(judged: DataFrame) -> DataFrame:
 
 def rejects(judged: DataFrame) -> DataFrame:
     """Rejected rows as quarantine records, with ``ingest_date``."""
-    first, *rest = _details().items()
-    reason = F.col("reject_reason")
-    detail = reduce(
-        lambda case, item: case.when(reason == item[0], item[1]), rest, F.when(reason == first[0], first[1])
-    )
     return judged.where("reject_reason IS NOT NULL").select(
         "reject_reason",
-        out_of_line(detail).alias("reject_detail"),
+        _detail(_application(judged)).alias("reject_detail"),
         isotime.utc_text(F.col("arrived_at")).alias("rejected_at"),
         F.left(F.make_valid_utf8("value"), F.lit(contract.RAW_PAYLOAD_CHARS)).alias("raw_payload"),
         F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date"),
