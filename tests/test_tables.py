@@ -72,6 +72,12 @@ def test_dedupe_trims_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_spellings_spark_cannot_cast_stay_in_bronze_and_are_counted(spark):
+    rows = bronze(spark, {"event_id": "a", "event_timestamp": "20260731T101112"}, {"event_id": "b"})
+    assert [r.event_id for r in silver.silver(rows).collect()] == ["b"]
+    assert silver.silver_counters(rows).first().unparseable == 1
+
+
 def test_hot_key_keeps_one_row(spark):
     copies = spark.range(30_000).selectExpr(
         "if(id % 3 = 0, 'hot', cast(id AS string)) AS event_id", "cast(id AS string) AS unit_price"
