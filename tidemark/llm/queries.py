@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints
+from tidemark.llm import fingerprints, language, packing
 from tidemark.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
+        "op7_language_id": lambda s, d: language.identify_documents(table(s, d, "documents")),
         "op10_document_fingerprints": lambda s, d: fingerprints.edited_fingerprints(table(s, d, "documents")),
     }
 
