@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, language, packing, toxicity
+from tidemark.llm import fingerprints, language, packing, personal_data, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_toxicity": lambda s, d: toxicity.score_documents(table(s, d, "documents"), table(s, d, "labels")),
         "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
+        "op6_personal_data": lambda s, d: personal_data.find_in_documents(table(s, d, "documents")),
         "op7_language_id": lambda s, d: language.identify_documents(table(s, d, "documents")),
         "op10_document_fingerprints": lambda s, d: fingerprints.edited_fingerprints(table(s, d, "documents")),
     }
