@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, jaccard_join, language, packing, personal_data, toxicity
+from tidemark.llm import fingerprints, jaccard_join, language, packing, personal_data, repeats, toxicity
 from tidemark.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_repeats": lambda s, d: repeats.digests(table(s, d, "documents")),
         "op3_toxicity": lambda s, d: toxicity.score_documents(table(s, d, "documents"), table(s, d, "labels")),
         "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
         "op6_personal_data": lambda s, d: personal_data.find_in_documents(table(s, d, "documents")),
