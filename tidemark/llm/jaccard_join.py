@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents_of, shuffle_partitions, slices, stored
 from tidemark.llm.components import components
 
-WORDS, NUMERATOR, DENOMINATOR = 3, 90, 100
+WORDS, LEAST = 3, (90, 100)
 #: A block holds this many sets, or this many shingles, about.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 1 << 20
 RECUTS = 3
@@ -84,41 +84,41 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def band(size: int) -> int:
-    """Bands are so wide that similar sets lie in the same or in neighbouring ones."""
-    j = int(math.log(size) / math.log(DENOMINATOR / NUMERATOR))
-    while _first_of(j) > size:
-        j -= 1
-    while _first_of(j + 1) <= size:
-        j += 1
-    return j
+class Layout:
+    """How sets sign for a threshold numerator/denominator on their similarity."""
 
+    def __init__(self, least: tuple[int, int] = LEAST):
+        self.least, self.growth = least, least[1] / least[0]
 
-def _first_of(j: int) -> int:
-    """The smallest size of band j: sizes grow by at least the factor 100/90, and by one."""
-    return _FIRSTS[j] if j < len(_FIRSTS) else math.ceil(_FIRSTS[-1] * (DENOMINATOR / NUMERATOR) ** (j - len(_FIRSTS) + 1))
+    def first_of(self, j: int) -> int:
+        """The smallest size of band j. Bands are so wide that similar sets lie in one or in neighbours."""
+        return math.ceil(self.growth**j - 1e-9)
 
+    def band(self, size: int) -> int:
+        j = int(math.log(size) / math.log(self.growth))
+        while self.first_of(j) > size:
+            j -= 1
+        while self.first_of(j + 1) <= size:
+            j += 1
+        return j
 
-_FIRSTS = [math.ceil((DENOMINATOR / NUMERATOR) ** j - 1e-9) for j in range(200)]
+    def differing(self, j: int) -> int:
+        """Most elements in which similar sets of bands j and j + 1 can differ."""
+        numerator, denominator = self.least
+        # |A ^ B| <= (1 - t) / (1 + t) * (|A| + |B|)
+        return (denominator - numerator) * 2 * (self.first_of(j + 2) - 1) // (denominator + numerator)
 
-
-def differing(first_band: int) -> int:
-    """Most elements in which similar sets of this band and the next can differ."""
-    largest = _first_of(first_band + 2) - 1
-    # |A ^ B| <= (1 - t) / (1 + t) * (|A| + |B|)
-    return (DENOMINATOR - NUMERATOR) * 2 * largest // (DENOMINATOR + NUMERATOR)
-
-
-def signatures(hashes: np.ndarray) -> np.ndarray:
-    """PartEnum signatures of a set in both pairs of bands it belongs to; signed 64 bit."""
-    if not len(hashes):
-        return np.empty(0, dtype=np.int64)
-    own = band(len(hashes))
-    out: list[np.ndarray] = []
-    for pair in (own - 1, own):
-        if pair >= 0:
-            _sign(hashes, differing(pair) + 1, _U(mix(np.array([pair + 1], dtype=np.uint64))[0]), out, 0)
-    return np.unique(np.concatenate(out)).view(np.int64)
+    def signatures(self, hashes: np.ndarray) -> np.ndarray:
+        """PartEnum signatures of a set in both pairs of bands it belongs to; signed 64 bit."""
+        if not len(hashes):
+            return np.empty(0, dtype=np.int64)
+        own = self.band(len(hashes))
+        out: list[np.ndarray] = []
+        for pair in (own - 1, own):
+            if pair >= 0:
+                salt = mix(np.array([pair + 1], dtype=np.uint64))[0]
+                _sign(hashes, self.differing(pair) + 1, salt, out, 0)
+        return np.unique(np.concatenate(out)).view(np.int64)
 
 
 def _sign(hashes: np.ndarray, parts: int, salt: np.uint64, out: list[np.ndarray], cut: int) -> None:
@@ -140,25 +140,31 @@ def _sign(hashes: np.ndarray, parts: int, salt: np.uint64, out: list[np.ndarray]
 
 
 def shingled(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, d1, d2, signatures) of every whole text."""
+    """(doc_id, n, d1, d2): number and digest of the shingles of every whole text."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(words)
+        for batch in slices(batches):
+            rows = [(len(s), *digest(s)) for s in map(shingles, batch.column(1).to_pylist())]
+            columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "d1", "d2"])
+
+    return docs.mapInArrow(scan, "doc_id long, n long, d1 long, d2 long")
+
+
+def signed(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
+    """(sig, doc_id): a row for each signature of every document with an id."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in slices(batches):
-            sets = [shingles(text) for text in batch.column(1).to_pylist()]
-            digests = [digest(s) for s in sets]
+            found = [layout.signatures(shingles(text)) for text in batch.column(1).to_pylist()]
+            docs_of = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f) for f in found])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([a for a, _ in digests], pa.int64()),
-                    pa.array([b for _, b in digests], pa.int64()),
-                    pa.array([signatures(s) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n", "d1", "d2", "signatures"],
+                [pa.array(np.concatenate(found), pa.int64()), pa.array(docs_of, pa.int64())], names=["sig", "doc_id"]
             )
 
-    return docs.mapInArrow(scan, "doc_id long, n long, d1 long, d2 long, signatures array<long>")
+    return docs.filter(F.col("doc_id").isNotNull()).mapInArrow(scan, "sig long, doc_id long")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,10 +199,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([first[1], last[1]], [0, 1], [first[0], last[0]], False)
 
 
-def signature_edges(shingled_docs: DataFrame) -> DataFrame:
+def signature_edges(rows: DataFrame) -> DataFrame:
     """(a, b): edges that connect all documents of each signature."""
-    spark = shingled_docs.sparkSession
-    rows = shingled_docs.filter(F.col("doc_id").isNotNull()).select(F.explode("signatures").alias("sig"), "doc_id")
+    spark = rows.sparkSession
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "doc_id").sortWithinPartitions("sig", "doc_id")
     found = stored(ordered.mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
     # Two rows a part: a signature that goes on in the next part is joined across the border.
@@ -251,13 +256,13 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, growth: float) -> DataFrame:
     """(doc_id, task, side): the block comparisons that each member of a candidate component takes part in.
 
     A component's members of one band are dealt into blocks by a hash of the id. A component of one
     block is one task; else blocks meet within a band and with the next band.
     """
-    j = F.floor(F.log(F.col("n").cast("double")) / math.log(DENOMINATOR / NUMERATOR) + 1e-9).cast("int")
+    j = F.floor(F.log(F.col("n").cast("double")) / math.log(growth) + 1e-9).cast("int")
     banded = members.withColumn("band", j)
     per_band = banded.groupBy("component", "band").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     need = F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
@@ -290,7 +295,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     )
 
 
-def verified_links(docs: DataFrame, members: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+def verified_links(docs: DataFrame, members: DataFrame, words: int, layout: Layout) -> DataFrame:
     """(a, b): a spanning forest of the exact links within each candidate component."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +303,7 @@ def verified_links(docs: DataFrame, members: DataFrame, words: int, least: tuple
         task, ids, sets, sides = None, [], [], []
 
         def found() -> pa.RecordBatch:
-            edges = links_within(sets, np.array(sides), least) if len(sets) > 1 else []
+            edges = links_within(sets, np.array(sides), layout.least) if len(sets) > 1 else []
             pairs = [(ids[x], ids[y]) for x, y in edges]
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
@@ -317,7 +322,7 @@ def verified_links(docs: DataFrame, members: DataFrame, words: int, least: tuple
         yield found()
 
     spark = docs.sparkSession
-    routed = _blocks(members).join(docs.filter(F.col("doc_id").isNotNull()), "doc_id")
+    routed = _blocks(members, layout.growth).join(docs.filter(F.col("doc_id").isNotNull()), "doc_id")
     key = F.to_json("task")
     rows = routed.select(key.alias("task"), "side", "doc_id", "text").repartition(shuffle_partitions(spark), "task")
     ordered = rows.sortWithinPartitions("task", "side", "doc_id")
@@ -325,17 +330,14 @@ def verified_links(docs: DataFrame, members: DataFrame, words: int, least: tuple
 
 
 def linked_documents(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-    least: tuple[int, int] = (NUMERATOR, DENOMINATOR),
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; signatures serve any threshold of 90 % or above."""
-    if least[0] * DENOMINATOR < NUMERATOR * least[1]:
-        raise ValueError("signatures are laid out for a similarity of at least 90 %")
-    docs = documents_of(df, id_col, text_col)
-    signed = stored(shingled(docs, words), "signatures")
-    filled = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; ``least`` is the threshold as a fraction."""
+    layout, docs = Layout(least), documents_of(df, id_col, text_col)
+    sized = stored(shingled(docs, words), "shingled")
+    filled = sized.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     copies = filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
-    candidates = components(signature_edges(signed))
+    candidates = components(signature_edges(signed(docs, words, layout)))
     # One document of each set stands for its copies.
     members = stored(
         copies.select(F.col("first").alias("node"), "n").join(candidates, "node").select(
@@ -344,10 +346,10 @@ def linked_documents(
         "candidates",
     )
     several = members.groupBy("component").count().filter("count > 1").select("component")
-    links = verified_links(docs, members.join(several, "component"), words, least)
+    links = verified_links(docs, members.join(several, "component"), words, layout)
     same = filled.join(copies, ["n", "d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     labels = components(links.unionByName(same.filter(F.col("a") != F.col("b"))))
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"))
+    out = sized.select("doc_id", F.col("n").alias("n_shingles"))
     return out.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

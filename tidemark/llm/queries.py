@@ -6,20 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, jaccard_join, language, near_vectors, packing, personal_data, repeats, toxicity
+import corpus_pipeline
+from tidemark.llm import (
+    fingerprints,
+    jaccard_join,
+    language,
+    licences,
+    mixing,
+    near_vectors,
+    packing,
+    personal_data,
+    repeats,
+    toxicity,
+)
 from tidemark.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_repeats": lambda s, d: repeats.digests(table(s, d, "documents")),
+        "op2_mixing": lambda s, d: mixing.mixture(table(s, d, "documents")),
         "op3_toxicity": lambda s, d: toxicity.score_documents(table(s, d, "documents"), table(s, d, "labels")),
+        "op4_licence_scan": lambda s, d: licences.scan_pages(table(s, d, "pages")),
         "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
         "op6_personal_data": lambda s, d: personal_data.find_in_documents(table(s, d, "documents")),
         "op7_language_id": lambda s, d: language.identify_documents(table(s, d, "documents")),
         "op8_near_vectors": lambda s, d: near_vectors.linked_vectors(table(s, d, "embeddings")),
         "op9_jaccard_join": lambda s, d: jaccard_join.linked_documents(table(s, d, "documents")),
         "op10_document_fingerprints": lambda s, d: fingerprints.edited_fingerprints(table(s, d, "documents")),
+        "pipeline": corpus_pipeline.run,
     }
 
 
