@@ -3,12 +3,13 @@
 A document is the set of its hashed word shingles. Sizes fall into bands; sets of two
 neighbouring bands that are similar enough differ in at most ``k`` elements, so if the feature
 domain is cut into ``k + 1`` parts, some part holds the same elements in both. A set's
-signatures are the hashes of its parts (the first level of PartEnum; a part is left out of the
-comparison by itself, which enumerates the subsets of size one). An element's part is the
-range its hash falls into, so a part is a slice of the sorted hashes.
+signatures are the hashes of its parts: of the subsets that PartEnum enumerates, those of one
+part, the fewest rows. An element's part is the range its hash falls into, so a part is a slice of
+the sorted hashes.
 
-An empty part says nothing, though two similar sets may agree in empty parts alone: such a set
-signs once more with its domain cut anew, marked by the empty part.
+Empty parts say nothing, though similar sets may agree in them. So there are ``spare`` parts more
+than ``k + 1``: ``spare + 1`` parts agree, and a set with at most ``spare`` empty ones shares a
+filled one with every similar set. If both have more, both sign again with the domain cut anew.
 
 From signatures to links, linear in their number:
 
@@ -89,6 +90,7 @@ class Layout:
 
     def __init__(self, least: tuple[int, int] = LEAST):
         self.least, self.growth = least, least[1] / least[0]
+        self._spare: dict[int, int] = {}
 
     def first_of(self, j: int) -> int:
         """The smallest size of band j. Bands are so wide that similar sets lie in one or in neighbours."""
@@ -116,27 +118,38 @@ class Layout:
         out: list[np.ndarray] = []
         for pair in (own - 1, own):
             if pair >= 0:
-                salt = mix(np.array([pair + 1], dtype=np.uint64))[0]
-                _sign(hashes, self.differing(pair) + 1, salt, out, 0)
+                _sign(hashes, self.differing(pair) + 1, self.spare(pair), pair, out)
         return np.unique(np.concatenate(out)).view(np.int64)
 
-
-def _sign(hashes: np.ndarray, parts: int, salt: np.uint64, out: list[np.ndarray], cut: int) -> None:
-    values = np.sort(mix(hashes + salt)) if cut else hashes
-    bounds = (np.arange(parts + 1, dtype=np.float64) * (2.0**64 / parts))[1:-1].astype(np.uint64)
-    edges = np.concatenate([[0], np.searchsorted(values, bounds), [len(values)]])
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(values ^ salt), dtype=np.uint64)])
-        parts_sum = sums[edges[1:]] - sums[edges[:-1]]
-        numbers = np.arange(parts, dtype=np.uint64)
-        signed = mix(parts_sum + mix(salt + numbers * _U(0xD6E8FEB86659FD93)))
-        empty = np.flatnonzero(edges[1:] == edges[:-1])
-        if cut < RECUTS:
-            out.append(np.delete(signed, empty))
-            for part in empty:
-                _sign(hashes, parts, mix(np.array([salt + _U(part) + _U(1)]))[0], out, cut + 1)
-        else:
-            out.append(signed)
+    def spare(self, j: int) -> int:
+        """Parts beyond those that can differ: more than a set of bands j and j + 1 often has empty."""
+        if j not in self._spare:
+            # Any number is right; a few more parts save most sets the second cut.
+            need, spare = self.differing(j) + 1, 0
+            for _ in range(8):
+                empty = (need + spare) * math.exp(-self.first_of(j) / (need + spare))
+                spare = min(math.ceil(empty + 3 * math.sqrt(empty)), need // 6)
+            self._spare[j] = spare
+        return self._spare[j]
+
+
+def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.ndarray]) -> None:
+    """Hashes of the filled parts of ``need + spare`` parts, at least ``1 + spare`` of which are equal in similar sets."""
+    parts = need + spare
+    for cut in range(RECUTS + 1):
+        salt = mix(np.array([(pair + 1) * (RECUTS + 1) + cut], dtype=np.uint64))[0]
+        with np.errstate(over="ignore"):
+            values = np.sort(mix(hashes + salt)) if cut else hashes
+            bounds = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
+            edges = np.concatenate([[0], np.searchsorted(values, bounds), [len(values)]])
+            sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(values ^ salt), dtype=np.uint64)])
+            numbers = np.arange(parts, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)
+            signed_parts = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(salt + numbers))
+        filled = edges[1:] > edges[:-1]
+        # The last cut keeps empty parts too: from there on nothing is left to chance.
+        out.append(signed_parts[filled] if cut < RECUTS else signed_parts)
+        if parts - int(filled.sum()) <= spare:
+            return
 
 
 def shingled(docs: DataFrame, words: int = WORDS) -> DataFrame:
