@@ -6,7 +6,7 @@ and sets a coordinate to exactly zero until its gradients outweigh the L1 penalt
 weights that are broadcast are few and never more than ``DIMENSIONS``.
 
 * Training reads labelled rows that are not held out, ``TRAIN_ROWS`` of each label drawn by a hash
-  of the id. Shards of them are fitted in parallel tasks and averaged, ``ROUNDS`` times.
+  of the id. Coordinates that hardly any of them has stay zero. Shards of them are fitted in parallel tasks and averaged, ``ROUNDS`` times.
 * Labels, language, source and id never enter a score: it depends on the text alone.
 * Null and empty texts have the bias as their only feature; without training rows every score is
   0.5 less the smallest step, so nothing is predicted toxic. A label of null is no label; of
@@ -31,6 +31,8 @@ from tidemark.llm.common import documents_of, held_out, slices, stored
 DIMENSIONS = 1 << 20
 #: Labelled rows of each label that a model is fitted on.
 TRAIN_ROWS = 8000
+#: Training texts that a coordinate must occur in to be learned, and their share.
+LEAST_TEXTS, LEAST_SHARE = 4, 0.001
 #: Rows of a shard, passes over each.
 SHARD_ROWS, ROUNDS = 2000, 8
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.01
@@ -78,9 +80,8 @@ class Features:
 class State:
     """FTRL-proximal accumulators of one model."""
 
-    def __init__(self, z: np.ndarray | None = None, n: np.ndarray | None = None):
-        self.z = np.zeros(DIMENSIONS) if z is None else z.copy()
-        self.n = np.zeros(DIMENSIONS) if n is None else n.copy()
+    def __init__(self, z: np.ndarray, n: np.ndarray):
+        self.z, self.n = z.copy(), n.copy()
 
     def weights(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         z, n = self.z[at], self.n[at]
@@ -132,31 +133,41 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
     order = F.xxhash64(F.lit("order"), "doc_id")
     rows = drawn.mapInArrow(hashed, "doc_id long, features array<int>, toxic int").withColumn("order", order)
     sharded = stored(rows.withColumn("shard", F.pmod("order", F.lit(shards))), "toxicity-features")
-    state = State()
+    least = max(LEAST_TEXTS, round(size * LEAST_SHARE))
+    per_coordinate = sharded.select(F.explode("features").alias("i")).groupBy("i").count()
+    frequent = per_coordinate.filter(F.col("count") >= least).select("i").toPandas()["i"]  # <= DIMENSIONS numbers
+    learned = np.sort(frequent.to_numpy(dtype=np.int64))
+    if not len(learned):
+        return learned, np.empty(0)
+    state = State(np.zeros(len(learned)), np.zeros(len(learned)))
     for _ in range(ROUNDS):
-        state = _averaged(spark, sharded, state, shards)
+        state = _averaged(spark, sharded, state, shards, learned)
     weights = state.weights()
     kept = np.flatnonzero(weights)
-    return kept, weights[kept]
+    return learned[kept], weights[kept]
 
 
-def _averaged(spark: SparkSession, sharded: DataFrame, state: State, shards: int) -> State:
+def _averaged(spark: SparkSession, sharded: DataFrame, state: State, shards: int, learned: np.ndarray) -> State:
     """One pass of every shard from the common state; accumulators are averaged over the shards."""
-    shared = spark.sparkContext.broadcast((state.z, state.n))
+    shared = spark.sparkContext.broadcast((learned, state.z, state.n))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        own, rows = State(*shared.value), rows.sort_values(["order", "doc_id"])
-        for at, label in zip(rows["features"], rows["toxic"]):
-            own.learn(np.asarray(at, dtype=np.int64), int(label == 1))
-        moved = np.flatnonzero((own.z != shared.value[0]) | (own.n != shared.value[1]))
-        return pd.DataFrame({"i": moved, "z": own.z[moved] - shared.value[0][moved], "n": own.n[moved] - shared.value[1][moved]})
+        known, z, n = shared.value
+        own, rows = State(z, n), rows.sort_values(["order", "doc_id"])
+        for features, label in zip(rows["features"], rows["toxic"]):
+            coordinates = np.asarray(features, dtype=np.int64)
+            at = np.minimum(np.searchsorted(known, coordinates), len(known) - 1)
+            own.learn(at[known[at] == coordinates], int(label == 1))
+        moved = np.flatnonzero((own.z != z) | (own.n != n))
+        return pd.DataFrame({"i": moved, "z": own.z[moved] - z[moved], "n": own.n[moved] - n[moved]})
 
     # A shard is a bounded part of a bounded draw.
     steps = sharded.groupBy("shard").applyInPandas(fit, "i long, z double, n double")
-    summed = steps.groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas()  # <= DIMENSIONS rows
+    summed = steps.groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas()
     out, at = State(state.z, state.n), summed["i"].to_numpy(dtype=np.int64)
     out.z[at] += summed["z"].to_numpy() / shards
     out.n[at] += summed["n"].to_numpy() / shards
+    shared.unpersist()
     return out
 
 
