@@ -25,9 +25,8 @@ kinds AS (
            CASE WHEN planted = 15 THEN t0 + INTERVAL 1 HOUR
                 WHEN planted = 0 AND id % 20 = 3 THEN t0 + to_hours(CAST(2 + id % 71 AS INTEGER))
                 ELSE t0 + INTERVAL 5 MINUTE END AS first_arrival,
-           ['electronics', 'apparel', 'home', 'grocery', 'beauty', 'sports', 'toys', 'books'][k % 8 + 1] AS cat,
-           ['insufficient_funds', 'card_expired', 'cvv_mismatch', 'issuer_declined',
-            'fraud_suspected', 'network_timeout'][id % 6 + 1] AS failure
+           ['lamp', 'chair', 'teapot', 'blanket', 'notebook', 'bicycle', 'kettle', 'mirror'][k % 8 + 1] AS cat,
+           ['limit_reached', 'wrong_pin', 'account_closed', 'timed_out', 'bank_offline', 'suspicious'][id % 6 + 1] AS failure
     FROM base
 ),
 copies AS (
@@ -81,7 +80,7 @@ raw AS (
            || '","event_type":"order_placed","event_timestamp":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
            || '","customer_id":"cust-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0')
            || '","product_id":"'
-           || ['electronics', 'apparel', 'home', 'grocery', 'beauty', 'sports', 'toys', 'books'][l_partkey % 8 + 1]
+           || ['lamp', 'chair', 'teapot', 'blanket', 'notebook', 'bicycle', 'kettle', 'mirror'][l_partkey % 8 + 1]
            || '-' || lpad(CAST(l_partkey AS VARCHAR), 5, '0')
            || '","order_id":"ord-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')
            || '","quantity":' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
@@ -157,19 +156,19 @@ rejected AS (
             WHEN 'invalid_json' THEN 'payload is not exactly one JSON value'
             WHEN 'not_an_object' THEN CASE top WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str' ELSE lower(top) END
             WHEN 'missing_required_field' THEN missing
-            WHEN 'unknown_event_type' THEN left(event_type, 80)
+            WHEN 'unknown_event_type' THEN event_type
             WHEN 'missing_type_specific_field' THEN event_type || ':' || type_missing
-            WHEN 'malformed_event_id' THEN left(event_id, 80)
+            WHEN 'malformed_event_id' THEN event_id
             WHEN 'bad_timestamp_type' THEN 'expected string, got '
                 || CASE WHEN time_type IN ('BIGINT', 'UBIGINT') THEN 'int' ELSE lower(time_type) END
-            WHEN 'unparseable_timestamp' THEN left(event_timestamp, 80)
+            WHEN 'unparseable_timestamp' THEN event_timestamp
             WHEN 'future_timestamp' THEN strftime(happened_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'
             WHEN 'non_numeric_amount' THEN 'qty=' || quantity || ' price=' || unit_price
             WHEN 'non_positive_quantity' THEN CAST(qty AS VARCHAR)
             WHEN 'negative_price' THEN CAST(price AS VARCHAR)
         END AS reject_detail,
         strftime(arrived_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS rejected_at,
-        left(value, 2000) AS raw_payload,
+        value AS raw_payload, CAST(NULL AS VARCHAR) AS raw_base64,
         strftime(arrived_at, '%Y-%m-%d') AS ingest_date
     FROM judged WHERE reject_reason IS NOT NULL
 )"""
@@ -358,10 +357,15 @@ SELECT period_start, received, rejected, CAST(rate AS DOUBLE) AS reject_rate_pct
 FROM alarms WHERE received IS NOT NULL"""
 
 _FRESHNESS_ALARM = """,
+orders_seen AS (
+    SELECT validated_at, event_timestamp, date_trunc('hour', validated_at) AS period_start
+    FROM typed WHERE event_type = 'order_placed' AND event_timestamp IS NOT NULL
+),
+arrivals AS (SELECT period_start, max(validated_at) AS observed_at FROM orders_seen GROUP BY 1),
 points AS (
-    SELECT date_trunc('hour', validated_at) AS period_start,
-           greatest(epoch(max(validated_at)) - epoch(max(event_timestamp)), 0) AS lag
-    FROM typed WHERE event_type = 'order_placed' AND event_timestamp IS NOT NULL GROUP BY 1
+    SELECT a.period_start, greatest(epoch(a.observed_at) - epoch(
+        (SELECT max(o.event_timestamp) FROM orders_seen o WHERE o.validated_at <= a.observed_at)), 0) AS lag
+    FROM arrivals a
 ),
 hours AS (
     SELECT unnest(generate_series((SELECT min(period_start) FROM points),
@@ -469,6 +473,11 @@ def build(as_of: str) -> dict[str, str]:
             "SELECT 'bronze' AS side, event_id AS item, _validated_at AS stamped_at FROM bronze "
             "UNION ALL SELECT reject_reason, raw_payload, rejected_at FROM rejected",
         ),
+        "ingest_replay": _sql(
+            _TO_BRONZE + [_REJECTED],
+            "SELECT 'bronze' AS side, event_id AS item, _validated_at AS stamped_at FROM bronze "
+            "UNION ALL SELECT reject_reason, raw_payload, rejected_at FROM rejected",
+        ),
         "reject_rate_alarm": _sql([_JUDGED], "").rstrip() + _RATE_ALARM,
         "freshness_alarm": _sql(_TO_TYPED, "").rstrip() + _FRESHNESS_ALARM,
     }

@@ -18,10 +18,11 @@ def duck():
     return connect(SF_DIR)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_query_of_the_lakehouse_has_an_oracle():
+    corpus = set(spark_entry.corpus_queries.queries()) if spark_entry.corpus_queries else set()
+    assert set(QUERIES) - corpus == set(ORACLES) - corpus
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", [n for n in ORACLES if not n.startswith("op") and n != "pipeline"])
 def test_query_matches_oracle(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name, QUERIES[name], ORACLES[name]) is None

@@ -1,5 +1,6 @@
 """Writing, reading back, replaying, failing, streaming, declaring tables."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -33,7 +34,7 @@ def test_ingest_is_idempotent_per_batch(lake, raw):
     once = snapshot(lake)
     assert (len(once[0]), len(once[1])) == (counters["valid"], counters["quarantined"])
     assert counters["received"] == len(PAYLOADS)
-    assert lake.ingest(raw(*PAYLOADS), "b1", keep=None) == counters
+    assert lake.ingest(raw(*PAYLOADS), "b1") == counters
     assert snapshot(lake) == once
     lake.ingest(raw(*PAYLOADS), "b2")
     assert snapshot(lake) == (sorted(once[0] * 2), sorted(once[1] * 2))
@@ -61,6 +62,59 @@ def test_failed_quarantine_write_stores_nothing_and_raises(lake, raw, monkeypatc
     assert snapshot(lake) == ([], [])
 
 
+def test_a_repeated_batch_is_stored_once_whatever_the_clock(spark, lake, raw):
+    near_limit = event(event_timestamp="2026-07-31T12:05:10Z")  # 310 s ahead at first, valid a day later
+    first = lake.ingest(raw(event(), near_limit, "junk"), "it's b1")
+    later = dt.datetime(2026, 8, 1, 12, 0, 5)
+    assert lake.ingest(raw(event(), near_limit, "junk", now=later), "it's b1") == first
+    assert (first["received"], first["valid"], first["future_timestamp"]) == (3, 1, 1)
+    assert lake.bronze().count() == 1 and lake.quarantine().count() == 2
+
+
+def test_a_failed_batch_keeps_its_clock(spark, lake, raw, monkeypatch):
+    working = writers.write_bronze
+    monkeypatch.setattr(writers, "write_bronze", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lake.ingest(raw(event(), "junk"), "b1")
+    monkeypatch.setattr(writers, "write_bronze", working)
+    lake.ingest(raw(event(), "junk", now=dt.datetime(2026, 8, 1, 0, 0, 5)), "b1")
+    assert [r.ingest_date for r in lake.bronze().collect()] == ["2026-07-31"]
+    assert [r.ingest_date for r in lake.quarantine().collect()] == ["2026-07-31"]
+
+
+def test_accepted_spellings_reach_silver_and_counters_reconcile(lake, raw):
+    times = ["2026-07-31T10:00Z", "20260731T100000", "2026-W31-5T10:00:00", "2026-07-31x10:00:00Z", "2026-07-31T15:30:00.5+05:30"]
+    amounts = [("3000000000", "1.5"), ('"1_000"', '"3_0"'), ("true", "2"), ("2.9", "1e1")]
+    odd = [event(event_id=f"aaaa000{i}", event_timestamp=t) for i, t in enumerate(times)]
+    lines = [
+        event(event_id=f"bbbb000{i}").replace('"quantity": 2', f'"quantity": {q}').replace('"unit_price": 9.99', f'"unit_price": {p}')
+        for i, (q, p) in enumerate(amounts)
+    ]
+    lake.ingest(raw(*odd, *lines), "b1")
+    counted = lake.build_silver()
+    assert counted == {"rows_in": 9, "unparseable": 0, "rows_out": 9, "duplicates": 0}
+    rows = {r.event_id: r for r in lake.silver().collect()}
+    assert all(rows[f"aaaa000{i}"].event_timestamp.hour == 10 for i in range(5))
+    assert (rows["bbbb0001"].quantity, rows["bbbb0001"].unit_price) == (1000, 30.0)
+    assert (rows["bbbb0002"].quantity, rows["bbbb0003"].quantity, rows["bbbb0003"].unit_price) == (1, 2, 10.0)
+    assert lake.build_gold()["freshness_lag_seconds"] is not None
+
+
+def test_text_lines_end_at_line_feeds_alone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_bytes(event().replace(",", ",\r", 1).encode() + b"\n")
+    assert raw_source.read_raw(spark, str(tmp_path / "in")).count() == 1
+
+
+def test_a_database_declared_over_another_lake_answers_from_it(spark, tmp_path, raw):
+    for n in (1, 2):
+        other = Lakehouse(spark, str(tmp_path / f"lake{n}"))
+        other.ingest(raw(*[event(event_id=f"{i:08d}") for i in range(n)]), "b1")
+        assert other.build_silver() and other.build_gold() and other.build_layouts()
+        other.declare("moved")
+        assert spark.table("moved.silver_events").count() == n
+
+
 def test_empty_inputs_write_nothing(lake, raw):
     assert not lake.build_silver() and not lake.build_gold() and not lake.build_layouts()
     lake.ingest(raw("junk"), "b1")

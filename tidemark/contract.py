@@ -25,9 +25,8 @@ EVENT_ID_SHAPE = r"^[0-9a-fA-F-]{8,36}\n?\z"
 MAX_FUTURE_SECONDS = 300
 LATE_AFTER_SECONDS = 3600
 
-# Text limits in characters.
+# Fixed value: characters of a detail that a report shows. What is stored is whole.
 SHORT_DETAIL_CHARS = 80
-RAW_PAYLOAD_CHARS = 2000
 
 # Reject reasons in checking order, with their dashboard labels.
 REASON_LABELS = {

@@ -84,6 +84,22 @@ def lenient_int(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), F.when(text.rlike(_CUTTABLE), whole.try_cast("int")))
 
 
+def accepted_int(text: Column) -> Column:
+    """``lenient_int`` and, beyond it, every spelling of a quantity that validation accepts."""
+    plain = F.when(text.rlike(INTEGER_TEXT), F.regexp_replace(text, r"[^0-9-]", "").try_cast("int"))
+    flag = F.when(text == "true", 1).when(text == "false", 0)
+    number = text.try_cast("double")
+    cut = F.when(F.abs(number) < 2147483648.0, number.cast("bigint").try_cast("int"))
+    return F.coalesce(lenient_int(text), plain, flag, cut)
+
+
+def accepted_double(text: Column) -> Column:
+    """Every spelling of a price that validation accepts."""
+    plain = F.when(text.rlike(FLOAT_TEXT), F.regexp_replace(text, r"[^0-9.eE+-]", "").try_cast("double"))
+    flag = F.when(text == "true", 1.0).when(text == "false", 0.0)
+    return F.coalesce(text.try_cast("double"), plain, flag)
+
+
 def cents(amount: Column) -> Column:
     """Round an average to cents, first settling noise left by the order of summation."""
     return F.round(F.round(amount, 9), 2)

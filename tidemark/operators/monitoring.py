@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract
-from tidemark.session import cut_lineage
 
 _RATE_PERIOD = f"{contract.RATE_PERIOD_SECONDS} seconds"
 
@@ -55,30 +54,37 @@ def reject_rate_alarm(windows: DataFrame) -> DataFrame:
 
 
 def freshness_points(typed_events: DataFrame) -> DataFrame:
-    """One observation per hour of arrival: how far the newest order trails the latest arrival."""
+    """One observation per hour of arrival: how far the newest order so far trails the latest arrival.
+
+    Events are reduced to a row per hour before the running maximum, so the window that orders
+    all of time sees hours, not events.
+    """
     orders = typed_events.where("event_type = 'order_placed' AND event_timestamp IS NOT NULL")
     per_hour = orders.groupBy(F.date_trunc("hour", "validated_at").alias("hour")).agg(
-        F.max("validated_at").alias("observed_at"), F.max("event_timestamp").alias("newest")
+        F.max("validated_at").alias("observed_at"), F.max("event_timestamp").alias("newest_of_hour")
     )
+    so_far = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = per_hour.where("hour IS NOT NULL").withColumn("newest", F.max("newest_of_hour").over(so_far))
     lag = (F.unix_micros("observed_at") - F.unix_micros("newest")) / 1e6
-    return per_hour.select("observed_at", F.greatest(lag, F.lit(0.0)).alias("lag_seconds"))
+    return running.select("observed_at", F.greatest(lag, F.lit(0.0)).alias("lag_seconds"))
 
 
 def freshness_alarm(points: DataFrame) -> DataFrame:
-    """Every hour from the first to the last observation; an hour without one is breaching."""
-    hours = F.unix_micros("observed_at") - F.pmod(
-        F.unix_micros("observed_at"), F.lit(contract.FRESHNESS_PERIOD_SECONDS * 1_000_000)
-    )
-    # One row per hour, needed twice below: for the span and for the join.
-    observed = cut_lineage(
-        points.groupBy(F.timestamp_micros(hours).alias("period_start")).agg(
-            F.max("lag_seconds").alias("max_lag_seconds")
-        )
+    """Every hour from the first to the last observation; an hour without one is breaching.
+
+    Each observed hour fills the gap up to the next one: no spine, no join.
+    """
+    period = contract.FRESHNESS_PERIOD_SECONDS * 1_000_000
+    hours = F.unix_micros("observed_at") - F.pmod(F.unix_micros("observed_at"), F.lit(period))
+    observed = points.groupBy(hours.alias("start")).agg(F.max("lag_seconds").alias("max_lag_seconds"))
+    upto = F.coalesce(F.lead("start").over(Window.orderBy("start")), F.col("start") + period)
+    filled = observed.withColumn("upto", upto).select(
+        "start", "max_lag_seconds", F.explode(F.sequence(F.col("start"), F.col("upto") - period, F.lit(period))).alias("at")
     )
-    span = observed.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last"))
-    step = F.expr(f"INTERVAL {contract.FRESHNESS_PERIOD_SECONDS} SECONDS")
-    spine = span.where("first IS NOT NULL").select(F.explode(F.sequence("first", "last", step)).alias("period_start"))
-    late = F.col("max_lag_seconds") > contract.FRESHNESS_THRESHOLD_SECONDS
-    return spine.join(observed, "period_start", "left").select(
-        "period_start", "max_lag_seconds", F.coalesce(late, F.lit(True)).alias("breaching")
+    lag = F.when(F.col("at") == F.col("start"), F.col("max_lag_seconds"))
+    late = lag > contract.FRESHNESS_THRESHOLD_SECONDS
+    return filled.select(
+        F.timestamp_micros("at").alias("period_start"),
+        lag.alias("max_lag_seconds"),
+        F.coalesce(late, F.lit(True)).alias("breaching"),
     )

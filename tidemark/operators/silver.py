@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.numbers import lenient_int
+from tidemark.functions import isotime
+from tidemark.functions.numbers import accepted_double, accepted_int
 
 SILVER_COLUMNS = schemas.SILVER.names
 
@@ -25,23 +26,32 @@ _TIE_BREAKERS = (
 
 
 def typed(bronze: DataFrame) -> DataFrame:
-    """Declared types for every column; what does not cast becomes NULL."""
+    """Declared types for every column; what does not cast becomes NULL.
+
+    Instants and amounts are read as validation reads them, so a valid event keeps its values.
+    """
     return bronze.select(
         "event_id",
         "event_type",
-        F.try_to_timestamp("event_timestamp").alias("event_timestamp"),
+        instant(),
         "customer_id",
         "product_id",
         "order_id",
         "cart_id",
-        lenient_int(F.col("quantity")).alias("quantity"),
-        F.col("unit_price").try_cast("double").alias("unit_price"),
+        accepted_int(F.col("quantity")).alias("quantity"),
+        accepted_double(F.col("unit_price")).alias("unit_price"),
         "failure_code",
         F.try_to_timestamp("_validated_at").alias("validated_at"),
         F.ifnull("_is_late_arrival", F.lit(False)).alias("is_late_arrival"),
     )
 
 
+def instant() -> Column:
+    text = F.col("event_timestamp")
+    # Valid events have ISO-8601 text; what else is stored gets the general cast.
+    return F.coalesce(isotime.parse_iso(text)["at"], F.try_to_timestamp(text)).alias("event_timestamp")
+
+
 def gross_amount() -> Column:
     """Order value in cents precision; NULL for every other event type."""
     value = F.round(F.col("quantity") * F.col("unit_price"), 2)
@@ -83,7 +93,7 @@ def silver_counters(bronze: DataFrame) -> DataFrame:
     One scan and one narrow shuffle; copies are counted before they move.
     """
     per_event = (
-        bronze.select("event_id", F.try_to_timestamp("event_timestamp").alias("event_timestamp"))
+        bronze.select("event_id", instant())
         .groupBy("event_id")
         .agg(F.count("*").alias("copies"), F.count("event_timestamp").alias("usable"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import contract
 from tidemark.functions import keys
 from tidemark.functions.numbers import cents
 
@@ -89,8 +90,8 @@ def quarantine_summary(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("reject_reason", "ingest_date").agg(
         F.count("*").alias("reject_count"),
         F.max("rejected_at").alias("last_seen_at"),
-        F.min("reject_detail").alias("sample_detail"),
-    ).orderBy(F.desc("reject_count"), "reject_reason", "ingest_date")
+        F.left(F.min("reject_detail"), F.lit(contract.SHORT_DETAIL_CHARS)).alias("sample_detail"),
+    )
 
 
 def freshness_lag(fact: DataFrame, as_of: Column) -> DataFrame:

@@ -105,18 +105,17 @@ def _details() -> dict[str, Column]:
         kind = payload.kind_of_shape(payload.field_shape(F.col("value"), name))
         return payload.display_text(kind, F.col(name))
 
-    short = F.lit(contract.SHORT_DETAIL_CHARS)
     return {
         "invalid_json": F.lit("payload is not exactly one JSON value"),
         "not_an_object": payload.top_level_kind(F.col("value")),
         "missing_required_field": F.col("_gaps"),
-        "unknown_event_type": F.left(shown("event_type"), short),
+        "unknown_event_type": shown("event_type"),
         "missing_type_specific_field": F.concat("event_type", F.lit(":"), "_type_gaps"),
-        "malformed_event_id": F.left(shown("event_id"), short),
+        "malformed_event_id": shown("event_id"),
         "bad_timestamp_type": F.concat(
             F.lit("expected string, got "), payload.kind_of_shape(F.col("_time_shape"))
         ),
-        "unparseable_timestamp": F.left("event_timestamp", short),
+        "unparseable_timestamp": F.col("event_timestamp"),
         "future_timestamp": F.concat(
             isotime.iso_text(isotime.wall_clock(F.col("_time.at"), F.col("_time.offset_us"))),
             isotime.offset_text(F.col("_time.offset_us")),
@@ -189,31 +188,52 @@ def bronze_lines(judged: DataFrame) -> DataFrame:
     Fields outside the bronze schema survive. Should a producer already send a field of the
     same name, ours comes last and JSON readers keep the last one.
     """
+    return judged.where("reject_reason IS NULL").select(
+        _bronze_line().alias("value"), F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date")
+    )
+
+
+def _bronze_line() -> Column:
     body = F.rtrim(F.translate("value", "\r\n", "  "), F.lit(payload.JSON_SPACE))
     opened = F.ltrim(F.left(body, F.length(body) - 1), F.lit(payload.BYTE_ORDER_MARK))
-    derived = judged.where("reject_reason IS NULL").select("value", "arrived_at", *_enrichment())
-    return derived.select(
-        F.concat(
-            opened,
-            F.lit(',"event_date":"'),
-            "event_date",
-            F.lit('","_validated_at":"'),
-            "_validated_at",
-            F.lit('","_is_late_arrival":'),
-            F.col("_is_late_arrival").cast("string"),
-            F.lit("}"),
-        ).alias("value"),
-        F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date"),
+    event_date, validated_at, is_late = _enrichment()
+    return F.concat(
+        opened,
+        F.lit(',"event_date":"'),
+        event_date,
+        F.lit('","_validated_at":"'),
+        validated_at,
+        F.lit('","_is_late_arrival":'),
+        is_late.cast("string"),
+        F.lit("}"),
     )
 
 
 def rejects(judged: DataFrame) -> DataFrame:
-    """Rejected rows as quarantine records, with ``ingest_date``."""
+    """Rejected rows as quarantine records, with ``ingest_date``.
+
+    Payloads are kept whole, so each can be replayed; one that is not UTF-8 also as its bytes.
+    """
     return judged.where("reject_reason IS NOT NULL").select(
         "reject_reason",
         _detail(_application(judged)).alias("reject_detail"),
         isotime.utc_text(F.col("arrived_at")).alias("rejected_at"),
-        F.left(F.make_valid_utf8("value"), F.lit(contract.RAW_PAYLOAD_CHARS)).alias("raw_payload"),
+        F.make_valid_utf8("value").alias("raw_payload"),
+        F.when(~F.is_valid_utf8("value"), F.base64(F.col("value").cast("binary"))).alias("raw_base64"),
+        F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date"),
+    )
+
+
+def verdict_rows(judged: DataFrame) -> DataFrame:
+    """Everything both sinks store, in one pass: a quarantine record or a bronze line for each payload."""
+    rejected = F.col("reject_reason").isNotNull()
+    return judged.select(
+        "reject_reason",
+        F.when(rejected, _detail(_application(judged))).alias("reject_detail"),
+        F.when(rejected, isotime.utc_text(F.col("arrived_at"))).alias("rejected_at"),
+        F.when(rejected, F.make_valid_utf8("value")).alias("raw_payload"),
+        F.when(rejected & ~F.is_valid_utf8("value"), F.base64(F.col("value").cast("binary"))).alias("raw_base64"),
+        F.when(~rejected, _bronze_line()).alias("line"),
         F.date_format("arrived_at", "yyyy-MM-dd").alias("ingest_date"),
     )
 

@@ -7,11 +7,14 @@ step can be run again.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark import schemas
+from tidemark import contract, schemas
 from tidemark.operators import silver as silver_ops
 from tidemark.operators import star, validation
 from tidemark.session import configure
@@ -49,46 +52,70 @@ class Lakehouse:
 
     # -- steps -------------------------------------------------------------------------
 
-    def ingest(
-        self, raw: DataFrame, batch: str, keep: StorageLevel | None = StorageLevel.MEMORY_AND_DISK
-    ) -> dict[str, int]:
-        """Validate one batch and store it; returns its counters.
+    def ingest(self, raw: DataFrame, batch: str) -> dict[str, int]:
+        """Validate one batch and store it, once; returns its counters.
 
-        Rejects are stored before valid rows: if either write fails the caller sees the
-        error and repeats the batch under the same label, which replaces its own files.
-        ``keep`` holds the verdicts between the two writes; pass None for a backfill larger
-        than the executors' storage, which is then parsed once per write.
+        The label stands for the batch. Its payloads are judged a single time: the verdicts are
+        stored first, and both sinks and the counters are fed from them. If a write fails, the
+        caller sees the error and repeats the batch under its label; the repeat takes the stored
+        verdicts, with their clock, so it replaces the same files. A batch that is complete is
+        left alone. Rejects are stored before valid rows.
+        """
+        spark = configure(raw.sparkSession)  # a stream hands over its own session
+        own = f"{self.root}/_batches/{quote(batch, safe='')}"
+        counters = _stored(spark, f"{own}/counters", _COUNTERS)
+        if counters is not None:
+            return counters.first().asDict()
+        verdicts = f"{own}/verdicts"
+        if _stored(spark, f"{own}/judged", schemas.RAW) is None:
+            validation.verdict_rows(validation.judge(raw)).write.mode("overwrite").parquet(verdicts)
+            # Only a whole set of verdicts counts.
+            _store_row(spark, f"{own}/judged", schemas.RAW, (batch,))
+        judged = spark.read.schema(schemas.VERDICTS).parquet(verdicts)
+        rejected = F.col("reject_reason").isNotNull()
+        writers.write_quarantine(judged.where(rejected).drop("line"), self.quarantine_path, batch)
+        lines = judged.where(~rejected).select(F.col("line").alias("value"), "ingest_date")
+        writers.write_bronze(lines, self.bronze_path, batch)
+        found = validation.ingest_counters(judged).first()
+        _store_row(spark, f"{own}/counters", _COUNTERS, tuple(found))
+        # The verdicts have served: their place is freed.
+        spark.createDataFrame([], schemas.VERDICTS).write.mode("overwrite").parquet(verdicts)
+        return found.asDict()
+
+    def build_silver(self) -> dict[str, int]:
+        """Full rebuild from bronze; without bronze rows nothing is written.
+
+        Returns rows_in = unparseable + duplicates + rows_out, counted by the write itself.
         """
-        configure(raw.sparkSession)  # a stream hands over its own session
-        judged = validation.judge(raw)
-        if keep is not None:
-            judged = judged.persist(keep)
-        try:
-            writers.write_quarantine(validation.rejects(judged), self.quarantine_path, batch)
-            writers.write_bronze(validation.bronze_lines(judged), self.bronze_path, batch)
-            return validation.ingest_counters(judged).first().asDict()
-        finally:
-            if keep is not None:
-                judged.unpersist()
-
-    def build_silver(self) -> bool:
-        """Full rebuild from bronze; without bronze rows nothing is written."""
         bronze = self.bronze()
         if bronze.isEmpty():
-            return False
-        writers.write_by_date(silver_ops.silver(bronze), self.silver_path)
-        return True
+            return {}
+        seen, written = Observation(), Observation()
+        typed = silver_ops.typed(bronze).observe(
+            seen, F.count("*").alias("rows_in"), F.count_if(F.col("event_timestamp").isNull()).alias("unparseable")
+        )
+        latest = silver_ops.latest_copy(silver_ops.dated(typed)).select(*silver_ops.SILVER_COLUMNS)
+        writers.write_by_date(latest.observe(written, F.count("*").alias("rows_out")), self.silver_path)
+        counted = seen.get | written.get
+        return counted | {"duplicates": counted["rows_in"] - counted["unparseable"] - counted["rows_out"]}
 
-    def build_gold(self) -> bool:
+    def build_gold(self) -> dict[str, float | None]:
+        """All gold tables; returns how far the newest fact trails the clock, and records it."""
         silver = self.silver()
         if silver.isEmpty():
-            return False
+            return {}
         writers.write_table(star.dim_customer(silver), self.gold_path("dim_customer"))
         writers.write_table(star.dim_product(silver), self.gold_path("dim_product"))
         writers.write_table(star.dim_date(silver), self.gold_path("dim_date"))
         writers.write_by_date(star.fact_orders(silver), self.gold_path("fact_orders"))
         writers.write_table(star.quarantine_summary(self.quarantine()), self.gold_path("quarantine_summary"))
-        return True
+        now = F.current_timestamp()
+        lag = star.freshness_lag(self.fact_orders(), now).select(now.alias("recorded_at"), "lag_seconds").first()
+        if lag is None:
+            return {"freshness_lag_seconds": None}
+        point = self.spark.createDataFrame([tuple(lag)], schemas.FRESHNESS)
+        point.write.mode("append").parquet(self.gold_path("freshness"))
+        return {"freshness_lag_seconds": lag["lag_seconds"]}
 
     def build_layouts(self) -> bool:
         """The stored silver rows in three physical layouts."""
@@ -138,3 +165,23 @@ class Lakehouse:
             "parquet_flat": tables.read_silver(self.spark, self.layout_path("parquet_flat")),
             "parquet_part": tables.read_silver(self.spark, self.layout_path("parquet_part")),
         }
+
+
+_COUNTERS = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("received", "valid", "quarantined", *contract.REJECT_REASONS)]
+)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A one-row table that a finished step left, if it did."""
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return None if rows.isEmpty() else rows
+
+
+def _store_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(path)

@@ -30,7 +30,13 @@ BRONZE_DDL = """
 """
 BRONZE = _struct(BRONZE_DDL)
 
-QUARANTINE = _struct("reject_detail STRING, rejected_at STRING, raw_payload STRING")
+QUARANTINE = _struct("reject_detail STRING, rejected_at STRING, raw_payload STRING, raw_base64 STRING")
+
+VERDICTS = _struct(
+    "reject_reason STRING, reject_detail STRING, rejected_at STRING, raw_payload STRING, raw_base64 STRING, "
+    "line STRING, ingest_date STRING"
+)
+FRESHNESS = _struct("recorded_at TIMESTAMP, lag_seconds DOUBLE")
 
 EVENT_DDL = """
     event_id STRING, event_type STRING, event_timestamp TIMESTAMP, customer_id STRING,

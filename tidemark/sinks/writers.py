@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.sources.tables import JSON_TIMESTAMP
 
@@ -23,13 +24,13 @@ def _replace_own_partitions(df: DataFrame):
 
 def write_quarantine(rejects: DataFrame, path: str, batch: str) -> None:
     """gzip NDJSON by reason, ingest day and batch; writing a batch again replaces it."""
-    labelled = rejects.selectExpr("*", f"'{batch}' AS batch").hint("rebalance", "reject_reason", "ingest_date")
+    labelled = rejects.withColumn("batch", F.lit(batch)).hint("rebalance", "reject_reason", "ingest_date")
     _replace_own_partitions(labelled).partitionBy("reject_reason", "ingest_date", "batch").json(path)
 
 
 def write_bronze(lines: DataFrame, path: str, batch: str) -> None:
     """gzip NDJSON by ingest day and batch; ``lines`` hold ready JSON text."""
-    labelled = lines.selectExpr("*", f"'{batch}' AS batch").hint("rebalance", "ingest_date")
+    labelled = lines.withColumn("batch", F.lit(batch)).hint("rebalance", "ingest_date")
     _replace_own_partitions(labelled).partitionBy("ingest_date", "batch").text(path)
 
 
@@ -51,14 +52,14 @@ def write_by_date(events: DataFrame, path: str, max_records_per_file: int = 5_00
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Unpartitioned Snappy Parquet; small tables become one file, large ones as many as needed."""
-    df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """Unpartitioned Snappy Parquet, as it comes: a scan keeps its splits and their order of days,
+    and AQE has joined the small partitions of an aggregation already."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def write_raw_json_layout(events: DataFrame, path: str) -> None:
     (
-        events.hint("rebalance")
-        .write.mode("overwrite")
+        events.write.mode("overwrite")
         .option("compression", "none")
         .option("timestampFormat", JSON_TIMESTAMP)
         .json(path)

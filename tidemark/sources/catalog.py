@@ -24,6 +24,9 @@ TABLES = {
 def declare_tables(spark: SparkSession, root: str, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/catalog'")
     for name, (location, kind, columns, partition) in TABLES.items():
+        if _declared_at(spark, f"{database}.{name}") not in (None, _plain_path(f"{root}/{location}")):
+            # Declared over another lake: only the declaration goes, tables with a location keep their files.
+            spark.sql(f"DROP TABLE {database}.{name}")
         options = f"OPTIONS (timestampFormat \"{JSON_TIMESTAMP}\")" if kind == "json" else ""
         partitioning = f"PARTITIONED BY ({partition})" if partition else ""
         spark.sql(
@@ -32,6 +35,18 @@ def declare_tables(spark: SparkSession, root: str, database: str) -> None:
         )
 
 
+def _plain_path(location: str) -> str:
+    """A path to compare: a local one without its scheme."""
+    return location.removeprefix("file://").removeprefix("file:").rstrip("/")
+
+
+def _declared_at(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return _plain_path(facts["data_type"])
+
+
 def register_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Add every partition folder found at the location; known ones stay as they are."""
     spark.catalog.recoverPartitions(f"{database}.{table}")

@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 
 
+# A carriage return is part of a payload (JSON space), only a line feed ends one.
+_LINE_END = "\n"
+
+
 def read_raw(spark: SparkSession, path: str, now: Column | None = None) -> DataFrame:
-    """Text files as ``value, arrived_at``; ``now`` defaults to the start of the query."""
-    lines = spark.read.schema(schemas.RAW).text(path)
+    """Text files as ``value, arrived_at``; ``now`` defaults to the start of the query.
+
+    Each line is a payload. A blank line is one too, and is rejected as ``invalid_json``.
+    """
+    lines = spark.read.schema(schemas.RAW).option("lineSep", _LINE_END).text(path)
     return lines.withColumn("arrived_at", F.current_timestamp() if now is None else now)
 
 
@@ -25,6 +32,7 @@ def stream_raw(
     lines = (
         spark.readStream.schema(schemas.RAW)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("lineSep", _LINE_END)
         .text(path)
     )
     return lines.withColumn("arrived_at", F.current_timestamp() if now is None else now)

@@ -27,7 +27,7 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Reason and ingest day come from the path only; the records do not repeat them."""
     schema = _with_strings(schemas.QUARANTINE, "reject_reason", "ingest_date", "batch")
     table = spark.read.schema(schema).option("basePath", path).json(path)
-    return table.select("reject_reason", "reject_detail", "rejected_at", "raw_payload", "ingest_date")
+    return table.select("reject_reason", "reject_detail", "rejected_at", "raw_payload", "raw_base64", "ingest_date")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
