@@ -14,6 +14,7 @@ from tidemark.llm import (
     licences,
     mixing,
     near_vectors,
+    oracles,
     packing,
     personal_data,
     repeats,
@@ -39,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.build()
