@@ -139,34 +139,53 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
     learned = np.sort(frequent.to_numpy(dtype=np.int64))
     if not len(learned):
         return learned, np.empty(0)
+    packed = stored(_packed(sharded, learned), "toxicity-shards")
     state = State(np.zeros(len(learned)), np.zeros(len(learned)))
     for _ in range(ROUNDS):
-        state = _averaged(spark, sharded, state, shards, learned)
+        state = _averaged(spark, packed, state)
     weights = state.weights()
     kept = np.flatnonzero(weights)
     return learned[kept], weights[kept]
 
 
-def _averaged(spark: SparkSession, sharded: DataFrame, state: State, shards: int, learned: np.ndarray) -> State:
-    """One pass of every shard from the common state; accumulators are averaged over the shards."""
-    shared = spark.sparkContext.broadcast((learned, state.z, state.n))
+def _packed(sharded: DataFrame, learned: np.ndarray) -> DataFrame:
+    """One row a shard: places among the learned coordinates of all its texts, in the order of learning."""
+    shared = sharded.sparkSession.sparkContext.broadcast(learned)
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        known, z, n = shared.value
-        own, rows = State(z, n), rows.sort_values(["order", "doc_id"])
-        for features, label in zip(rows["features"], rows["toxic"]):
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        known, places = shared.value, []
+        rows = rows.sort_values(["order", "doc_id"])
+        for features in rows["features"]:
             coordinates = np.asarray(features, dtype=np.int64)
             at = np.minimum(np.searchsorted(known, coordinates), len(known) - 1)
-            own.learn(at[known[at] == coordinates], int(label == 1))
-        moved = np.flatnonzero((own.z != z) | (own.n != n))
-        return pd.DataFrame({"i": moved, "z": own.z[moved] - z[moved], "n": own.n[moved] - n[moved]})
+            places.append(at[known[at] == coordinates].astype(np.int32))
+        data = [np.concatenate(places), np.array([len(p) for p in places], dtype=np.int32), rows["toxic"].to_numpy(dtype=np.int32)]
+        return pd.DataFrame([[d.tobytes() for d in data]], columns=["places", "lengths", "toxic"])
 
     # A shard is a bounded part of a bounded draw.
-    steps = sharded.groupBy("shard").applyInPandas(fit, "i long, z double, n double")
-    summed = steps.groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas()
-    out, at = State(state.z, state.n), summed["i"].to_numpy(dtype=np.int64)
-    out.z[at] += summed["z"].to_numpy() / shards
-    out.n[at] += summed["n"].to_numpy() / shards
+    return sharded.groupBy("shard").applyInPandas(gather, "places binary, lengths binary, toxic binary")
+
+
+def _averaged(spark: SparkSession, packed: DataFrame, state: State) -> State:
+    """One pass of every shard from the common state; accumulators are averaged over the shards."""
+    shared = spark.sparkContext.broadcast((state.z, state.n))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.to_pylist():
+                own = State(*shared.value)
+                places, lengths, toxic = (np.frombuffer(shard[c], dtype=np.int32) for c in ("places", "lengths", "toxic"))
+                for at, label in zip(np.split(places, np.cumsum(lengths)[:-1]), toxic.tolist()):
+                    own.learn(at, int(label == 1))
+                moved = [(x - y).astype(np.float32).tobytes() for x, y in zip((own.z, own.n), shared.value)]
+                yield pa.RecordBatch.from_arrays([pa.array([m], pa.binary()) for m in moved], names=["z", "n"])
+
+    # Of each of the few shards, two numbers a learned coordinate.
+    steps = packed.mapInArrow(fit, "z binary, n binary").collect()
+    out = State(state.z, state.n)
+    for column, values in (("z", out.z), ("n", out.n)):
+        moved = sorted(bytes(r[column]) for r in steps)  # the same sum in whatever order tasks end
+        values += np.mean([np.frombuffer(m, dtype=np.float32) for m in moved], axis=0, dtype=np.float64)
     shared.unpersist()
     return out
 
