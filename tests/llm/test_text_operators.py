@@ -12,11 +12,11 @@ from tidemark.llm import fingerprints, jaccard_join, language, packing, personal
 from tidemark.llm.components import components
 
 # Columns of an input that carry the names operators use inside.
-CLASHES = {c: F.lit(7) for c in ("sig", "core", "component", "node", "score", "sketch", "mark", "a", "b", "n")}
+CLASHES = ["sig", "core", "component", "node", "score", "sketch", "mark", "a", "b", "n"]
 
 
 def table(spark, rows, schema="doc_id long, text string"):
-    return spark.createDataFrame(rows, schema).withColumns(CLASHES)
+    return spark.createDataFrame(rows, schema).selectExpr("*", *[f"7 AS {c}" for c in CLASHES])
 
 
 def prose(rng, n, words=4000):
@@ -141,7 +141,7 @@ def test_packing_is_a_partition_with_right_ids(spark, corpus):
     tokenizer.encode_special_tokens = True
     rng = random.Random(6)
     rows = [*corpus, (1000, prose(rng, 3000)), (1001, "<|endoftext|> don't  stop\n\n \t now"), (None, "no id")]
-    got = packing.pack_documents(table(spark, rows)).collect()
+    got = packing.pack_documents(table(spark, rows).coalesce(1)).collect()  # a task leaves a padded sequence
     expected = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
     for key, ids in expected.items():
         pieces = sorted((r for r in got if r.doc_id == key), key=lambda r: r.start)
@@ -230,7 +230,7 @@ def test_language_of_known_unknown_and_wordless_texts(spark):
     german = "das haus und der fluss sind nahe an der alten brücke mit steinen"
     rows = [(i, english if i % 2 else german, "en" if i % 2 else "de") for i in range(60)]
     rows += [(100, "bridges housed rivers", None), (101, "steinhaus flussbrücken", None), (102, None, "en"), (103, "12 !", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns(CLASHES)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", *[f"7 AS {c}" for c in CLASHES])
     got = {r.doc_id: r for r in language.identify_documents(docs).collect()}
     assert all(got[i].lang_pred == ("en" if i % 2 else "de") for i in range(60))
     assert (got[100].lang_pred, got[101].lang_pred) == ("en", "de")
