@@ -47,9 +47,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_STRETCH = re.compile(
-    r"\S*[0-9@]\S*(?:\s\S*[0-9@]\S*)*|\S+\s?[(\[]at[)\]]\s?\S+|\S+ at \S+ dot \S+"
-)
+_MARKS = re.compile(r"[0-9@]+")
+_SPACE = re.compile(r"\s")
+_SPELLED = re.compile(r"[(\[]at[)\]]| at (?=\S{1,64} dot \S)")
+_DOMAIN_WORDS = re.compile(r"\s?\S{1,64}(?: dot \S{1,64})*")
 _UNIT = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
 Span = tuple[str, int, int]
@@ -84,7 +85,7 @@ def base_spans(text: str) -> list[Span]:
     """Pattern spans: by kind in the order of ``KINDS``, then by start."""
     spans = [("email", a, b) for a, b in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+        if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m.group().split(".")):
             spans.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if 13 <= m.end() - m.start() <= 37 and 13 <= len(digits := _digits(m.group())) <= 19 and luhn(digits):
@@ -95,10 +96,36 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+def _chunk_start(text: str, at: int, least: int) -> int:
+    """Where the run of visible characters that holds ``at`` begins, not before ``least``."""
+    while at > least and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _chunks(text: str) -> Iterator[tuple[int, int]]:
+    """Parts where an entity may lie, one pass over the text: chunks with marks, and spelled-out addresses."""
+    end = 0
+    for m in _MARKS.finditer(text):
+        if m.start() >= end:
+            start = _chunk_start(text, m.start(), max(end, m.start() - WINDOW))
+            space = _SPACE.search(text, m.end())
+            end = space.start() if space else len(text)
+            yield start, end
+    for m in _SPELLED.finditer(text):
+        words = _DOMAIN_WORDS.match(text, m.end())
+        yield _chunk_start(text, m.start(), max(0, m.start() - 64)), words.end() if words else m.end()
+
+
 def stretches(text: str) -> Iterator[tuple[int, int]]:
-    """Parts of the text where an entity may lie: chunks with digits or signs, and their neighbours."""
-    for m in _STRETCH.finditer(text):
-        start, end = m.span()
+    """Chunks with one white space at most between them, and a little of what stands around."""
+    joined: list[list[int]] = []
+    for start, end in sorted(_chunks(text)):
+        if joined and start <= joined[-1][1] + 1:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    for start, end in joined:
         # A long stretch is read in windows that overlap by more than the longest entity.
         for at in range(start, end, WINDOW // 2):
             yield max(at - 12, 0), min(at + WINDOW, end + 12)
