@@ -16,9 +16,12 @@ From signatures to links, linear in their number:
 1. signatures are range-sorted by (signature, document): neighbours within a signature are
    joined by an edge, and a signature with a third of all rows is spread over many tasks;
 2. components of these edges hold every pair that shares a signature;
-3. each component's distinct sets are compared exactly, in blocks of bounded size: only pairs
+3. a component too large for one block is divided again: blocks of it are compared by the
+   counts of hashes in ``BUCKETS`` buckets, whose minima bound every intersection from above, and
+   pairs that cannot be similar stay apart;
+4. each component's distinct sets are compared exactly, in blocks of bounded size: only pairs
    of blocks whose sizes allow a link meet, and a block pair yields a spanning forest of links;
-4. components of the links are the result. Copies with equal sets are joined by digest.
+5. components of the links are the result. Copies with equal sets are joined by digest.
 
 Null and empty texts have no shingles and link with nothing. A null id links with nothing and
 has a null component. Rows that repeat an id are one node. Extra columns are ignored.
@@ -43,6 +46,8 @@ WORDS, LEAST = 3, (90, 100)
 #: A block holds this many sets, or this many shingles, about.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 1 << 20
 RECUTS = 3
+#: Buckets of hashes, counted in a byte each, that bound intersections.
+BUCKETS = 256
 _MEMO = 300_000
 _U = np.uint64
 
@@ -152,17 +157,24 @@ def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.nda
             return
 
 
+def bucket_counts(hashes: np.ndarray) -> bytes:
+    """How many hashes each bucket has; empty if a byte cannot hold a count, and then nothing is ruled out."""
+    counts = np.bincount((hashes >> _U(17)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    return counts.astype(np.uint8).tobytes() if len(hashes) and counts.max() < 256 else b""
+
+
 def shingled(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, d1, d2): number and digest of the shingles of every whole text."""
+    """(doc_id, n, d1, d2, buckets): number, digest and bucket counts of the shingles of every whole text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in slices(batches):
-            rows = [(len(s), *digest(s)) for s in map(shingles, batch.column(1).to_pylist())]
+            rows = [(len(s), *digest(s), bucket_counts(s)) for s in map(shingles, batch.column(1).to_pylist())]
             columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "d1", "d2"])
+            columns.append(pa.array([r[3] for r in rows], pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "d1", "d2", "buckets"])
 
-    return docs.mapInArrow(scan, "doc_id long, n long, d1 long, d2 long")
+    return docs.mapInArrow(scan, "doc_id long, n long, d1 long, d2 long, buckets binary")
 
 
 def signed(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
@@ -269,6 +281,55 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def possible(counts: np.ndarray, sizes: np.ndarray, known: np.ndarray, sides: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Which pairs of sets may be similar, judging by bucket counts (a row a set)."""
+    rows = np.flatnonzero(sides == sides[0])
+    across = len(rows) < len(sizes)
+    columns = np.flatnonzero(sides != sides[0]) if across else rows
+    most = np.zeros((len(rows), len(columns)), dtype=np.int32)
+    for left, right in zip(np.ascontiguousarray(counts[rows].T), np.ascontiguousarray(counts[columns].T)):
+        most += np.minimum(left[:, None], right[None, :])
+    left, right = sizes[rows][:, None], sizes[columns][None, :]
+    most = np.where(known[rows][:, None] & known[columns][None, :], most, np.minimum(left, right))
+    pairs = np.zeros((len(sizes), len(sizes)), dtype=bool)
+    pairs[np.ix_(rows, columns)] = similar(most.astype(np.int64), left, right, least)
+    np.fill_diagonal(pairs, False)
+    return pairs | pairs.T
+
+
+def divided(members: DataFrame, sized: DataFrame, layout: Layout) -> DataFrame:
+    """The members of large candidate components, in smaller components that still hold every similar pair."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, rows = None, []
+
+        def found() -> pa.RecordBatch:
+            edges = []
+            if len(rows) > 1:
+                sides, ids, sizes, counts = zip(*rows)
+                known = np.array([len(c) > 0 for c in counts])
+                matrix = np.frombuffer(b"".join(c or bytes(BUCKETS) for c in counts), dtype=np.uint8).reshape(-1, BUCKETS)
+                pairs = possible(matrix, np.array(sizes, dtype=np.int64), known, np.array(sides), layout.least)
+                edges = [(ids[x], ids[y]) for x, y in _forest(pairs)]
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != task:
+                    yield found()
+                    task, rows = key, []
+                rows.append(row)
+        yield found()
+
+    spark = members.sparkSession
+    counts = sized.select("doc_id", "n", "buckets").dropDuplicates(["doc_id"])
+    routed = _blocks(members, layout.growth).join(counts, "doc_id")
+    keyed = routed.select(F.to_json("task").alias("task"), "side", "doc_id", "n", "buckets")
+    ordered = keyed.repartition(shuffle_partitions(spark), "task").sortWithinPartitions("task", "side", "doc_id")
+    parts = components(ordered.mapInArrow(compare, "a long, b long")).withColumnRenamed("node", "doc_id")
+    return members.drop("component").join(parts, "doc_id").select("doc_id", "component", "n")
+
+
 def _blocks(members: DataFrame, growth: float) -> DataFrame:
     """(doc_id, task, side): the block comparisons that each member of a candidate component takes part in.
 
@@ -358,8 +419,12 @@ def linked_documents(
         ),
         "candidates",
     )
-    several = members.groupBy("component").count().filter("count > 1").select("component")
-    links = verified_links(docs, members.join(several, "component"), words, layout)
+    crowds = members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
+    crowds = crowds.withColumn("large", (F.col("c") > BLOCK_SETS) | (F.col("s") > BLOCK_SHINGLES))
+    grouped = members.join(crowds.select("component", "large"), "component")
+    small = grouped.filter(~F.col("large")).select("doc_id", "component", "n")
+    parted = stored(divided(grouped.filter("large").select("doc_id", "component", "n"), sized, layout), "divided")
+    links = verified_links(docs, small.unionByName(parted), words, layout)
     same = filled.join(copies, ["n", "d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     labels = components(links.unionByName(same.filter(F.col("a") != F.col("b"))))
     out = sized.select("doc_id", F.col("n").alias("n_shingles"))
