@@ -135,8 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
     sharded = stored(rows.withColumn("shard", F.pmod("order", F.lit(shards))), "toxicity-features")
     least = max(LEAST_TEXTS, round(size * LEAST_SHARE))
     per_coordinate = sharded.select(F.explode("features").alias("i")).groupBy("i").count()
-    frequent = per_coordinate.filter(F.col("count") >= least).select("i").toPandas()["i"]  # <= DIMENSIONS numbers
-    learned = np.sort(frequent.to_numpy(dtype=np.int64))
+    frequent = per_coordinate.filter(F.col("count") >= least).select("i").toArrow()  # <= DIMENSIONS numbers
+    learned = np.sort(frequent["i"].to_numpy().astype(np.int64))
     if not len(learned):
         return learned, np.empty(0)
     packed = stored(_packed(sharded, learned), "toxicity-shards")
