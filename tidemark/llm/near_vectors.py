@@ -245,8 +245,9 @@ def linked_vectors(
         return none.withColumn("kept", F.col("vec_id").isNotNull())
     width = len(distinct.select("vector").first()[0])
     most = int(min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // (8 * width))))
-    drawn = distinct.orderBy(F.xxhash64("rep"), "rep").limit(most).select("vector").toPandas()
-    index = fit(_unit(np.stack(drawn["vector"].to_numpy()).astype(np.float64)), rows, threshold, recall)
+    drawn = distinct.orderBy(F.xxhash64("rep"), "rep").limit(most).select("vector").toArrow()["vector"]
+    sample = drawn.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), width)
+    index = fit(_unit(sample), rows, threshold, recall)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
