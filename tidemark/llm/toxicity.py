@@ -6,7 +6,7 @@ and sets a coordinate to exactly zero until its gradients outweigh the L1 penalt
 weights that are broadcast are few and never more than ``DIMENSIONS``.
 
 * Training reads labelled rows that are not held out, ``TRAIN_ROWS`` of each label drawn by a hash
-  of the id. Coordinates that hardly any of them has stay zero. Shards of them are fitted in parallel tasks and averaged, ``ROUNDS`` times.
+  of the id. Coordinates that few of them have, or toxic and other texts alike, stay zero. Shards of them are fitted in parallel tasks and averaged, ``ROUNDS`` times.
 * Labels, language, source and id never enter a score: it depends on the text alone.
 * Null and empty texts have the bias as their only feature; without training rows every score is
   0.5 less the smallest step, so nothing is predicted toxic. A label of null is no label; of
@@ -31,8 +31,9 @@ from tidemark.llm.common import documents_of, held_out, slices, stored
 DIMENSIONS = 1 << 20
 #: Labelled rows of each label that a model is fitted on.
 TRAIN_ROWS = 8000
-#: Training texts that a coordinate must occur in to be learned, and their share.
-LEAST_TEXTS, LEAST_SHARE = 4, 0.001
+#: A coordinate is learned if this many training texts have it, and if its share of toxic ones
+#: differs from the usual share by so many standard deviations.
+LEAST_TEXTS, LEAST_DEVIATIONS = 4, 2.0
 #: Rows of a shard, passes over each.
 SHARD_ROWS, ROUNDS = 2000, 8
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.01
@@ -133,10 +134,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
     order = F.xxhash64(F.lit("order"), "doc_id")
     rows = drawn.mapInArrow(hashed, "doc_id long, features array<int>, toxic int").withColumn("order", order)
     sharded = stored(rows.withColumn("shard", F.pmod("order", F.lit(shards))), "toxicity-features")
-    least = max(LEAST_TEXTS, round(size * LEAST_SHARE))
-    per_coordinate = sharded.select(F.explode("features").alias("i")).groupBy("i").count()
-    frequent = per_coordinate.filter(F.col("count") >= least).select("i").toArrow()  # <= DIMENSIONS numbers
-    learned = np.sort(frequent["i"].to_numpy().astype(np.int64))
+    rate = sharded.agg(F.avg("toxic")).first()[0] or 0.0
+    per_coordinate = sharded.select(F.explode("features").alias("i"), "toxic").groupBy("i").agg(
+        F.count("*").alias("texts"), F.sum("toxic").alias("toxic")
+    )
+    telling = F.abs(F.col("toxic") - F.col("texts") * rate) >= LEAST_DEVIATIONS * F.sqrt(F.col("texts") * rate * (1 - rate))
+    informed = per_coordinate.filter((F.col("i") == 0) | (telling & (F.col("texts") >= LEAST_TEXTS)))
+    kept_ones = informed.select("i").toArrow()  # <= DIMENSIONS numbers
+    learned = np.sort(kept_ones["i"].to_numpy().astype(np.int64))
     if not len(learned):
         return learned, np.empty(0)
     packed = stored(_packed(sharded, learned), "toxicity-shards")
