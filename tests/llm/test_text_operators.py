@@ -257,6 +257,25 @@ def test_toxicity_learns_words_and_handles_odd_rows(spark):
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, marks.limit(0)).collect())
 
 
+def test_toxicity_does_not_depend_on_how_many_rows_the_draw_leaves_out(spark):
+    rng = random.Random(21)
+    base = []
+    for i in range(1000):
+        bad = i % 10 == 0
+        telling = "hint" if rng.random() < (0.6 if bad else 0.15) else "vileword" if bad else "usual"
+        base.append((f"{telling} w{rng.randrange(20)}", int(bad)))  # three of ten hints are toxic
+
+    def predictions(copies):
+        rows = [(k * len(base) + i, text, toxic) for k in range(copies) for i, (text, toxic) in enumerate(base)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), per_label=1000)
+        probes = spark.createDataFrame([("hint w1",), ("usual w2",), ("hint",), ("vileword w3",), ("",)], "text string")
+        scores = [r.score for r in toxicity.with_score(probes, model, F.col("text")).collect()]
+        return [s >= toxicity.THRESHOLD for s in scores]
+
+    assert predictions(1) == predictions(20) == [False, False, False, True, False]
+
+
 def test_components_of_paths_stars_and_loops(spark):
     rng = random.Random(13)
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(20)] + [(7, 7), (None, 3)]

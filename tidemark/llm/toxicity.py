@@ -7,6 +7,8 @@ weights that are broadcast are few and never more than ``DIMENSIONS``.
 
 * Training reads labelled rows that are not held out, ``TRAIN_ROWS`` of each label drawn by a hash
   of the id. Coordinates that few of them have, or toxic and other texts alike, stay zero. Shards of them are fitted in parallel tasks and averaged, ``ROUNDS`` times.
+* Where the draw takes a larger part of one label than of the other, the bias gives back the log of
+  their quotient: a score is the probability at the labels' own ratio, whatever the table's size.
 * Labels, language, source and id never enter a score: it depends on the text alone.
 * Null and empty texts have the bias as their only feature; without training rows every score is
   0.5 less the smallest step, so nothing is predicted toxic. A label of null is no label; of
@@ -16,6 +18,7 @@ weights that are broadcast are few and never more than ``DIMENSIONS``.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -101,19 +104,21 @@ def sigmoid(x: float) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(x, -30.0, 30.0))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tuple[DataFrame, int]:
-    """(doc_id, text, toxic): a bounded draw of labelled rows of either label, none held out; and about how many."""
+def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tuple[DataFrame, int, float]:
+    """(doc_id, text, toxic): a bounded draw of labelled rows of either label, none held out; about how many;
+    and by how much the draw raises the log odds of the toxic label."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # 0 and 1
     draw = F.pmod(F.xxhash64(F.lit("toxic"), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)
-    share = F.when(F.col("toxic") == 1, min(1.0, per_label / max(counts.get(1, 0), 1))).otherwise(
-        min(1.0, per_label / max(sum(n for label, n in counts.items() if label != 1), 1))
-    )
-    drawn = marked.filter(draw < share)  # about 2 * per_label short rows, whatever the corpus
     toxic = counts.get(1, 0)
-    size = min(per_label, toxic) + min(per_label, sum(counts.values()) - toxic)
-    return documents_of(docs).join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic"), size
+    others = sum(counts.values()) - toxic
+    toxic_share, other_share = min(1.0, per_label / max(toxic, 1)), min(1.0, per_label / max(others, 1))
+    share = F.when(F.col("toxic") == 1, toxic_share).otherwise(other_share)
+    drawn = marked.filter(draw < share)  # about 2 * per_label short rows, whatever the corpus
+    size = min(per_label, toxic) + min(per_label, others)
+    rows = documents_of(docs).join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic")
+    return rows, size, math.log(toxic_share / other_share)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
             )
 
     spark = docs.sparkSession
-    drawn, size = training_rows(docs, labels, per_label)
+    drawn, size, raised = training_rows(docs, labels, per_label)
     shards = max(1, round(size / SHARD_ROWS))
     order = F.xxhash64(F.lit("order"), "doc_id")
     rows = drawn.mapInArrow(hashed, "doc_id long, features array<int>, toxic int").withColumn("order", order)
@@ -149,6 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_ROWS) -> tu
     for _ in range(ROUNDS):
         state = _averaged(spark, packed, state)
     weights = state.weights()
+    weights[0] -= raised  # the bias: coordinate 0, which every text has and every model learns
     kept = np.flatnonzero(weights)
     return learned[kept], weights[kept]
 
