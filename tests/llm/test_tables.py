@@ -119,4 +119,20 @@ def test_pipeline_stages_keep_what_they_should(spark):
 
 def test_entry_registers_every_operator():
     names = spark_entry.queries()
+def test_linked_and_wrapped_notices_are_found(spark):
+    filler = [(100 + k, f"http://h/p{k}", f"<p>words of page {k} under the version of 4.0 trees</p>") for k in range(60)]
+    pages = [
+        (1, "http://h/a/", "<p>About.</p><p>Licensed under <a href='x'>CC BY 4.0</a>.</p>"), (2, "http://h/a/b.html", "<p>none</p>"),
+        (3, "http://h/c", "<p>Licensed under the <a>Apache <em>License</em></a>, Version 2.0</p>"),
+        (4, "http://h/d", "<pre>Some words.\nThis work is licensed under the GNU\nGeneral Public License,\nversion 3.\n\nMore</pre>"),
+        (5, "http://h/e", "<div>Released under<br/>the <b>MIT</b><br>License</div>"), (6, "http://h/f", "<p>a license to <i>be</i> merry</p>"),
+        (7, "http://h/g", None),
+    ]
+    got = {r.page_id: r for r in licences.scan_pages(spark.createDataFrame(pages + filler, "page_id long, url string, html string")).collect()}
+    assert {i: (got[i].licence, got[i].origin) for i, _, _ in pages} == {
+        1: ("CC-BY-4.0", "own"), 2: ("CC-BY-4.0", "inherited"), 3: ("Apache-2.0", "own"), 4: ("GPL-3.0", "own"), 5: ("MIT", "own"),
+        6: (None, "none"), 7: (None, "none"),
+    }
+
+
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names

@@ -1,7 +1,9 @@
 """Licence scan: sparse TF-IDF cosine of passages to templates, then inheritance along directories.
 
 Each passage (line or sentence) of a file that has a cue word is compared with the templates'
-notices. A file's own licence is its best passage's template at cosine ``THRESHOLD`` or above.
+notices. So are the sentences of its paragraphs, whose lines are joined, and windows of two or three
+neighbouring lines, if they have a cue word or a licence's name: notices may be wrapped, and inline
+tags like links stand inside of them. A file's own licence is its best passage's template at cosine ``THRESHOLD`` or above.
 A licence file, or the index page of a directory, also licenses its directory. A file without
 a licence of its own inherits that of the nearest directory above it that has one, found by
 joining the directories above each file with the licensed directories.
@@ -43,6 +45,14 @@ TEMPLATES = [
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 CUES = ["license", "licensed", "licence", "licenced", "licenses", "dedicated", "copyright"]
+#: Names that, beside the cues, let a window be scored ("mit" is a German word, and never stands alone).
+NAMES = ["apache", "bsd", "cc", "cc0", "gnu", "gpl", "lgpl", "mozilla", "mpl"]
+#: Lines or sentences that a window joins at most.
+WINDOW = 3
+_INLINE = (
+    "a|abbr|acronym|b|bdi|bdo|big|cite|code|data|dfn|em|font|i|ins|kbd|mark|q|s|samp|small|span|strike|strong|sub|sup|"
+    "time|tt|u|var|wbr"
+)
 _LICENCE_FILE = r"^(licen[sc]e|copying|notice|legal|index|readme)([.-].*)?$"
 
 SPACE = r"[ \t\r\n]+"
@@ -64,6 +74,27 @@ def plain_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"<[^>]*>", "\n")
 
 
+def joined_text(html: Column) -> Column:
+    """Markup out: inline tags leave nothing, ``br`` a line break, all others a paragraph's end."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(script|style)>", "\n\n")
+    bare = F.regexp_replace(bare, rf"(?i)</?({_INLINE})(\s[^>]*|/)?>", "")
+    return F.regexp_replace(F.regexp_replace(bare, r"(?i)<br(\s[^>]*|/)?>", "\n"), r"<[^>]*>", "\n\n")
+
+
+def windows(text: Column) -> Column:
+    """Lower-cased sentences over the lines of a paragraph, and neighbouring lines or sentences joined."""
+    paragraphs = F.split(text, r"\r?\n[ \t\r]*\n\s*")
+    sentences = F.flatten(F.transform(paragraphs, lambda p: passages(F.regexp_replace(p, SPACE, " "))))
+    lines = F.filter(passages(text), lambda p: p.rlike("[a-z0-9]"))
+
+    out, widest = [sentences], lines
+    for n in range(2, WINDOW + 1):
+        # One element each for both sides; a lambda that held the lines would cut the text again for every window.
+        widest = F.zip_with(widest, F.slice(lines, n, F.size(lines)), lambda p, following: F.concat_ws(" ", p, following))
+        out.append(widest)
+    return F.concat(*out)
+
+
 def passage_words(passage: Column) -> Column:
     return F.regexp_extract_all(passage, F.lit("([a-z0-9]+)"))
 
@@ -74,8 +105,11 @@ def _weights(frequencies: dict[str, int], total: int) -> tuple[dict[str, float],
     return {w: weigh(frequencies.get(w, 0)) for t in TEMPLATES for w in words_of(t[1])}, weigh(1)
 
 
-def own_licences(files: DataFrame) -> DataFrame:
-    """(file_id, path, licence, score): the best template of each file's passages, null below the threshold."""
+def own_licences(files: DataFrame, joined: str = "text") -> DataFrame:
+    """(file_id, path, licence, score): the best template of each file's passages, null below the threshold.
+
+    Windows are taken from the column ``joined``.
+    """
     words = files.select("file_id", F.posexplode(passages(F.coalesce("text", F.lit("")))).alias("at", "passage"))
     words = words.select("file_id", "at", passage_words(F.col("passage")).alias("words")).filter(F.size("words") > 0)
     vocabulary = sorted({w for _, t in TEMPLATES for w in words_of(t)})
@@ -87,6 +121,11 @@ def own_licences(files: DataFrame) -> DataFrame:
     idf, other = _weights(frequencies, frequencies.pop("", 0))
 
     cued = words.filter(F.arrays_overlap("words", F.array(*map(F.lit, CUES))))
+    told = CUES + NAMES
+    hinted = files.filter(F.col(joined).rlike(rf"(?i)(?<![a-z0-9])({'|'.join(told)})(?![a-z0-9])"))
+    wide = hinted.select("file_id", F.posexplode(windows(F.col(joined))).alias("at", "passage"))
+    wide = wide.select("file_id", (-1 - F.col("at")).alias("at"), passage_words(F.col("passage")).alias("words"))
+    cued = cued.unionByName(wide.filter(F.arrays_overlap("words", F.array(*map(F.lit, told)))))
     counts = cued.select("file_id", "at", F.explode("words").alias("word")).groupBy("file_id", "at", "word").count()
     weights = F.create_map(*[F.lit(x) for item in sorted(idf.items()) for x in item])
     weighed = counts.withColumn("v", F.col("count") * F.coalesce(weights[F.col("word")], F.lit(other)))
@@ -119,9 +158,9 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(bare, r"[?#].*$", "")
 
 
-def scan(files: DataFrame) -> DataFrame:
+def scan(files: DataFrame, joined: str = "text") -> DataFrame:
     """(file_id, own_licence, own_score, licence, origin, directory) of every file (file_id, path, text)."""
-    own = stored(own_licences(files), "own-licences")
+    own = stored(own_licences(files, joined), "own-licences")
     above = directories(F.col("path"))
     name = F.element_at(F.split("path", "/"), -1)
     # Index pages (nothing after the last slash) and licence files speak for their directory.
@@ -150,6 +189,9 @@ def scan(files: DataFrame) -> DataFrame:
 def scan_pages(pages: DataFrame) -> DataFrame:
     """Pages as files: the path is the URL's host and path, the text the page without markup."""
     files = pages.select(
-        F.col("page_id").alias("file_id"), url_path(F.col("url")).alias("path"), plain_text(F.col("html")).alias("text")
+        F.col("page_id").alias("file_id"),
+        url_path(F.col("url")).alias("path"),
+        plain_text(F.col("html")).alias("text"),
+        joined_text(F.col("html")).alias("joined"),
     )
-    return scan(files).withColumnRenamed("file_id", "page_id")
+    return scan(files, "joined").withColumnRenamed("file_id", "page_id")
