@@ -37,7 +37,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens approach the raked shares of sources, languages and topics."""
+    """A sample whose tokens approach the raked shares of sources, languages and topics; rows may repeat."""
     return mixing.sampled(docs)
 
 

@@ -73,6 +73,28 @@ def test_raking_meets_the_marginals(spark):
             assert held == pytest.approx(share, abs=0.02)
 
 
+def test_sample_has_the_target_shares_where_raking_lifts_cells(spark):
+    counts = {("en", "a"): 1600, ("en", "b"): 200, ("de", "a"): 100, ("de", "b"): 100}
+    keys = [key for key, n in counts.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, "one two three", lang, s) for i, (lang, s) in enumerate(keys)], "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.7, "de": 0.3}}
+    rows = mixing.mixed(docs, targets).collect()
+    drawn = sum(r.mix_copies for r in rows)
+    assert drawn == pytest.approx(len(rows), rel=0.05) and max(r.mix_ratio for r in rows) > 2
+    assert all(r.mix_selected == (r.mix_copies > 0) and abs(r.mix_copies - r.mix_ratio) < 1 for r in rows)
+    for name, column in (("source", "source"), ("lang", "lang")):
+        for member, share in targets[name].items():
+            held = sum(r.mix_copies for r in rows if r[column] == member)
+            assert held / drawn == pytest.approx(share, abs=0.02)
+
+
+def test_the_sample_holds_a_row_as_often_as_it_was_drawn(spark):
+    docs = spark.createDataFrame([(i, "word " * 50, "en" if i % 50 else "de", "s") for i in range(500)], "doc_id long, text string, lang string, source string")
+    expected = {r.doc_id: r.mix_copies for r in mixing.mixed(docs).collect() if r.mix_copies}
+    got = {r.doc_id: r["count"] for r in mixing.sampled(docs).groupBy("doc_id").count().collect()}
+    assert got == expected and max(got.values()) > 1
+
+
 def test_mixing_of_null_and_empty_rows(spark):
     rows = [(i, "word " * (i % 7 + 1), None if i % 5 == 0 else "en", None if i % 3 == 0 else "s") for i in range(60)]
     docs = spark.createDataFrame([*rows, (None, None, None, None), (99, "", "fr", "z")], "doc_id long, text string, lang string, source string")
@@ -97,6 +119,22 @@ def test_licences_are_found_and_inherited(spark):
     assert got[5].directory == "host/lib/deep"
 
 
+def test_linked_and_wrapped_notices_are_found(spark):
+    filler = [(100 + k, f"http://h/p{k}", f"<p>words of page {k} under the version of 4.0 trees</p>") for k in range(60)]
+    pages = [
+        (1, "http://h/a/", "<p>About.</p><p>Licensed under <a href='x'>CC BY 4.0</a>.</p>"), (2, "http://h/a/b.html", "<p>none</p>"),
+        (3, "http://h/c", "<p>Licensed under the <a>Apache <em>License</em></a>, Version 2.0</p>"),
+        (4, "http://h/d", "<pre>Some words.\nThis work is licensed under the GNU\nGeneral Public License,\nversion 3.\n\nMore</pre>"),
+        (5, "http://h/e", "<div>Released under<br/>the <b>MIT</b><br>License</div>"), (6, "http://h/f", "<p>a license to <i>be</i> merry</p>"),
+        (7, "http://h/g", None),
+    ]
+    got = {r.page_id: r for r in licences.scan_pages(spark.createDataFrame(pages + filler, "page_id long, url string, html string")).collect()}
+    assert {i: (got[i].licence, got[i].origin) for i, _, _ in pages} == {
+        1: ("CC-BY-4.0", "own"), 2: ("CC-BY-4.0", "inherited"), 3: ("Apache-2.0", "own"), 4: ("GPL-3.0", "own"), 5: ("MIT", "own"),
+        6: (None, "none"), 7: (None, "none"),
+    }
+
+
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_sql(spark, name):
     assert compare(spark, connect(SF_DIR), SF_DIR, name, queries.queries()[name], ORACLES[name]) is None
@@ -119,20 +157,4 @@ def test_pipeline_stages_keep_what_they_should(spark):
 
 def test_entry_registers_every_operator():
     names = spark_entry.queries()
-def test_linked_and_wrapped_notices_are_found(spark):
-    filler = [(100 + k, f"http://h/p{k}", f"<p>words of page {k} under the version of 4.0 trees</p>") for k in range(60)]
-    pages = [
-        (1, "http://h/a/", "<p>About.</p><p>Licensed under <a href='x'>CC BY 4.0</a>.</p>"), (2, "http://h/a/b.html", "<p>none</p>"),
-        (3, "http://h/c", "<p>Licensed under the <a>Apache <em>License</em></a>, Version 2.0</p>"),
-        (4, "http://h/d", "<pre>Some words.\nThis work is licensed under the GNU\nGeneral Public License,\nversion 3.\n\nMore</pre>"),
-        (5, "http://h/e", "<div>Released under<br/>the <b>MIT</b><br>License</div>"), (6, "http://h/f", "<p>a license to <i>be</i> merry</p>"),
-        (7, "http://h/g", None),
-    ]
-    got = {r.page_id: r for r in licences.scan_pages(spark.createDataFrame(pages + filler, "page_id long, url string, html string")).collect()}
-    assert {i: (got[i].licence, got[i].origin) for i, _, _ in pages} == {
-        1: ("CC-BY-4.0", "own"), 2: ("CC-BY-4.0", "inherited"), 3: ("Apache-2.0", "own"), 4: ("GPL-3.0", "own"), 5: ("MIT", "own"),
-        6: (None, "none"), 7: (None, "none"),
-    }
-
-
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names

@@ -1,9 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting (raking).
 
 Token counts are raked to three marginals at once: source, language and topic. A document of a
-cell (source, language, topic) gets the weight of its three factors; its probability is the
-raked over the actual share of its cell, times a budget, at most one. A uniform number from a
-hash of the id decides, so the sample does not depend on the run.
+cell (source, language, topic) gets the weight of its three factors; its ratio is the raked over
+the actual share of its cell. It is in the sample as often as the whole part of ratio times a
+budget says, and once more with the remainder as probability, so that also cells which raking lifts
+above all their rows get their share. A uniform number from a hash of the id decides, so the
+sample does not depend on the run. Probability and selection are those of being there at all.
 
 * The factors of languages and topics are a few numbers on the driver. Sources may be millions:
   theirs stay in Spark, each computed from its own few cells, and a round of fitting is one
@@ -116,7 +118,7 @@ def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
     topic: Column | None = None,
 ) -> DataFrame:
-    """The rows with ``mix_tokens``, ``mix_topic``, ``mix_ratio``, ``mix_probability`` and ``mix_selected``."""
+    """The rows with ``mix_tokens``, ``mix_topic``, ``mix_ratio``, ``mix_probability``, ``mix_selected`` and ``mix_copies``."""
     tokens = token_count(F.col("text"))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     text = F.coalesce("text", F.lit(""))
@@ -133,15 +135,18 @@ def mixed(
     joined = rows.join(weights, on, "left").drop("_s", "_l", "_t")
     ratio = F.coalesce("mix_ratio", F.lit(0.0))
     probability = F.round(F.least(F.lit(1.0), ratio * budget), 6)
+    often = F.round(F.col("mix_ratio") * budget, 6)
+    again = F.when(draw(F.col("doc_id")) < often - F.floor(often), 1).otherwise(0)
     return (
         joined.withColumn("mix_ratio", ratio)
         .withColumn("mix_probability", probability)
         .withColumn("mix_selected", draw(F.col("doc_id")) < F.col("mix_probability"))
+        .withColumn("mix_copies", F.floor(often) + again)
     )
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """Every document with its tokens, topic, probability and whether it is in the sample."""
+    """Every document with its tokens, topic, and probability and outcome of being in the sample at least once."""
     return mixed(docs.select("doc_id", "text", "lang", "source")).select(
         "doc_id",
         F.col("mix_tokens").alias("tokens"),
@@ -152,5 +157,6 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def sampled(docs: DataFrame) -> DataFrame:
-    """The sample, with the columns of the input."""
-    return mixed(docs).filter("mix_selected").select(*docs.columns)
+    """The sample, with the columns of the input; a row stands there as often as it was drawn."""
+    drawn = mixed(docs).filter("mix_copies > 0")
+    return drawn.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*docs.columns)
