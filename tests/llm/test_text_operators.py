@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm import brute
-from tidemark.llm import fingerprints, jaccard_join, language, packing, personal_data, repeats, toxicity
+from tidemark.llm import fingerprints, jaccard_join, language, packing, personal_data, queries, repeats, toxicity
 from tidemark.llm.components import components
 
 # Columns of an input that carry the names operators use inside.
@@ -161,6 +162,21 @@ def test_packing_is_a_partition_with_right_ids(spark, corpus):
     assert packing.pack_documents(table(spark, [])).count() == 0
 
 
+def test_query_and_stage_pack_the_ids_of_the_tokenizers_default_setting(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>\n\nnext"), (3, "<|endoftext> no token"), (4, None)]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    query, stage = queries.queries()["op5_vector_packing"](spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))
+    expected = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+    assert expected[1] == [64, 220, 50256, 275, 0]
+    for packed in (query, stage):
+        got = {r.doc_id: (r.length, r.ids_crc32) for r in packed.collect()}
+        assert got == {i: (len(ids), packing.zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for i, ids in expected.items()}
+
+
 def test_packing_keeps_all_three_limits(spark):
     rng = random.Random(9)
     turns = [

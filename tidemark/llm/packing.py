@@ -70,12 +70,14 @@ class Piece:
         )
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """Ids of ordinary text under a byte-level BPE given as a tokenizer's JSON file.
-
-    Special tokens' strings in a text are ordinary text. The ranks beside the JSON file hold the
-    same vocabulary in the form the faster library reads; tests hold both to equal ids.
+@lru_cache(maxsize=4)
+def encoder(path: str, added: bool = False) -> Callable[[str], list[int]]:
+    """Ids of text under a byte-level BPE given as a tokenizer's JSON file.
+
+    With ``added``, the strings of the tokens that the JSON file adds to its vocabulary get those
+    tokens' ids, as in a tokenizer's default setting; otherwise they are ordinary text. The ranks
+    beside the JSON file hold the same vocabulary in the form the faster library reads; texts that
+    may have added tokens are left to the JSON file's own. Tests hold both to equal ids.
     """
     import public_tokenizers
     import tiktoken
@@ -84,7 +86,19 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return encoding.encode_ordinary
+    if not added:
+        return encoding.encode_ordinary
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    literals = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(text: str) -> list[int]:
+        if any(literal in text for literal in literals):
+            return tokenizer.encode(text, add_special_tokens=False).ids
+        return encoding.encode_ordinary(text)
+
+    return encode
 
 
 def tokenizer_path() -> str:
@@ -203,13 +217,17 @@ def _pack_with(examples_of: Callable[[pa.RecordBatch], Iterator], limits: Limits
 
 
 def pack_documents(
-    df: DataFrame, tokenizer: str | None = None, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Whole documents, each with a separator at its end; all ids but the separator bear loss."""
+    df: DataFrame, tokenizer: str | None = None, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text",
+    added: bool = False,
+) -> DataFrame:
+    """Whole documents, each with a separator at its end; all ids but the separator bear loss.
+
+    With ``added``, strings of added tokens in a text get those tokens' ids (see ``encoder``).
+    """
     path = tokenizer or tokenizer_path()
 
     def examples(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray, np.ndarray]]:
-        encode = encoder(path)
+        encode = encoder(path, added)
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ids = np.array([*encode(text), SEPARATOR], dtype=np.uint32)
             loss = np.ones(len(ids), dtype=bool)

@@ -29,7 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": lambda s, d: mixing.mixture(table(s, d, "documents")),
         "op3_toxicity": lambda s, d: toxicity.score_documents(table(s, d, "documents"), table(s, d, "labels")),
         "op4_licence_scan": lambda s, d: licences.scan_pages(table(s, d, "pages")),
-        "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
+        "op5_vector_packing": lambda s, d: packing.pack_documents(table(s, d, "documents"), added=True),
         "op6_personal_data": lambda s, d: personal_data.find_in_documents(table(s, d, "documents")),
         "op7_language_id": lambda s, d: language.identify_documents(table(s, d, "documents")),
         "op8_near_vectors": lambda s, d: near_vectors.linked_vectors(table(s, d, "embeddings")),
