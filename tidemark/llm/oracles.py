@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from tidemark.llm import jaccard_join, licences, mixing, near_vectors
+from tidemark.llm import jaccard_join, licences, mixing, near_vectors, secret_ledger
 
 # Smallest node that each node reaches, by a recursive walk over links(a, b) in both directions.
 _REACHED = """
@@ -199,10 +199,156 @@ SELECT o.page_id, o.own_licence, o.own_score, coalesce(o.own_licence, n.licence)
 FROM own o LEFT JOIN nearest n USING (page_id)"""
 
 
+def fill_in_middle() -> str:
+    return """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS lines,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+    FROM documents
+),
+draws AS (
+    SELECT *, CAST(len(lines) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+           CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM drawn
+),
+cuts AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+                THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM draws
+),
+pieces AS (
+    SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle,
+           array_to_string(lines[b + 1:], '') AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM pieces"""
+
+
+def _either_case(pattern: str) -> str:
+    """Letters of the keywords in either case, without the non-ASCII letters that case folding would add."""
+    return "".join(f"[{c}{c.upper()}]" if c.islower() else c for c in pattern)
+
+
+def secrets() -> str:
+    words = _either_case("password|passwd|secret|token|api_") + "?" + _either_case("key")
+    base = {
+        "assign": (rf"""({words})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": ("AKIA[A-Z0-9]+", 0, 20),
+        "hex": ("[0-9a-f]+", 0, 24),
+    }
+    kinds = base | {r.kind: (r.pattern, r.group, r.least) for r in secret_ledger.ADDED}
+    quoted = {kind: p.replace("'", "''") for kind, (p, _, _) in kinds.items()}
+    found = " UNION ALL ".join(
+        f"SELECT row, {order} AS o, '{kind}' AS kind, {least} AS least, string_split_regex(text, '{quoted[kind]}') AS pieces, "
+        f"regexp_extract_all(text, '{quoted[kind]}') AS whole, regexp_extract_all(text, '{quoted[kind]}', {group}) AS part FROM texts"
+        for order, (kind, (_, group, least)) in enumerate(kinds.items())
+    )
+    base_kinds = ", ".join(f"'{k}'" for k in base)
+    counts = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in base)
+    return f"""
+WITH texts AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row FROM documents),
+found AS ({found}),
+matches AS (
+    SELECT row, o, kind, least, unnest(pieces) AS piece, unnest(list_append(whole, '')) AS whole,
+           unnest(list_append(part, '')) AS part, generate_subscripts(pieces, 1) AS i FROM found WHERE len(whole) > 0
+),
+placed AS (
+    SELECT *, sum(length(piece) + length(whole)) OVER (PARTITION BY row, o ORDER BY i) AS e FROM matches
+),
+spans AS (
+    SELECT row, o, kind, e - length(whole) AS a, kind || ':' || CAST(e - length(whole) AS BIGINT) || ':' || CAST(e AS BIGINT) AS span
+    FROM placed WHERE whole <> '' AND length(part) >= least
+),
+per_row AS (
+    SELECT row, string_agg(span, ',' ORDER BY a, o) AS spans,
+           string_agg(span, ',' ORDER BY a, o) FILTER (kind IN ({base_kinds})) AS base,
+           {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in base)} FROM spans GROUP BY row
+)
+SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN per_row USING (row)"""
+
+
+#: Levels of sixteen that the manifest's SQL writes out, in a source and over the sources.
+_LEVELS = 6
+
+
+def manifest() -> str:
+    def field(column: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    crc = (
+        "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+        "lambda c: CAST(unicode(c) AS BIGINT))), lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+        "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"
+    )
+
+    def tree(name: str, start: str) -> str:
+        """Levels of one tree a ``g``: nodes by idx, and the runs of siblings below each parent."""
+        out = [f"{name}0 AS MATERIALIZED ({start})"]
+        for k in range(_LEVELS):
+            out.append(f"""
+{name}_runs{k} AS MATERIALIZED (
+    SELECT g, idx // 16 AS parent, list(digest ORDER BY idx) AS digests, any_value(cnt) AS cnt FROM {name}{k} GROUP BY ALL
+),
+{name}{k + 1} AS MATERIALIZED (
+    SELECT g, parent AS idx, CASE WHEN cnt = 1 THEN digests[1] ELSE sha256(array_to_string(digests, '')) END AS digest,
+           (cnt + 15) // 16 AS cnt FROM {name}_runs{k}
+)""")
+        return ",".join(out)
+
+    def climb(name: str, rows: str, at: str) -> tuple[str, str, str]:
+        """Joins to the runs along a row's path, the proof they make, and the steps that fold a digest."""
+        joins, proof, steps = [], [], []
+        for k in range(_LEVELS):
+            run = f"{name}_r{k}"
+            joins.append(f"JOIN {name}_runs{k} {run} ON {run}.g = {rows} AND {run}.parent = {at} // {16 ** (k + 1)}")
+            j = f"({at} // {16**k}) % 16"
+            left, right = f"array_to_string({run}.digests[1:{j}], '')", f"array_to_string({run}.digests[{j} + 2:], '')"
+            proof.append(f"CASE WHEN {run}.cnt > 1 THEN {left} || {right} ELSE '' END")
+            steps.append((f"{run}.cnt > 1", left, right))
+        return "\n    ".join(joins), " || ".join(proof), steps
+
+    own_joins, own_proof, own_steps = climb("n", "l.g", "l.idx")
+    top_joins, top_proof, top_steps = climb("s", "0", "(l.g - 1)")
+    folds, previous = [], "candidate"
+    columns = []
+    for i, (there, left, right) in enumerate([*own_steps, *top_steps]):
+        columns.append(f"{there} AS there{i}, {left} AS left{i}, {right} AS right{i}")
+        folds.append(f"f{i} AS (SELECT *, CASE WHEN there{i} THEN sha256(left{i} || {previous} || right{i}) ELSE {previous} END AS fold{i} FROM {'climbed' if i == 0 else f'f{i - 1}'})")
+        previous = f"fold{i}"
+    texts = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = f"CASE WHEN {crc} % 5 = 0 THEN translate(text, '{upper}', '{lower}') ELSE text END"
+    return f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, source, sha256({" || ".join([*texts, field("text")])}) AS leaf,
+           sha256({" || ".join([*texts, field(f"({changed})")])}) AS candidate FROM documents
+),
+ordered AS MATERIALIZED (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS g,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves
+),{tree("n", "SELECT g, idx, leaf AS digest, count(*) OVER (PARTITION BY g) AS cnt FROM ordered")},
+{tree("s", f"SELECT 0 AS g, g - 1 AS idx, digest, count(*) OVER () AS cnt FROM n{_LEVELS}")},
+climbed AS (
+    SELECT l.doc_id, l.leaf, l.candidate, o.digest AS subroot, r.digest AS root, sha256({own_proof} || {top_proof}) AS proof_sha256,
+           {", ".join(columns)}
+    FROM ordered l JOIN n{_LEVELS} o ON o.g = l.g CROSS JOIN s{_LEVELS} r
+    {own_joins}
+    {top_joins}
+),{",".join(folds)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, {previous} AS folded_root, {previous} = root AS verified FROM f{len(folds) - 1}"""
+
+
 def build() -> dict[str, str]:
     return {
         "op2_mixing": mixture(),
         "op4_licence_scan": licence_scan(),
         "op8_near_vectors": near(),
         "op9_jaccard_join": jaccard(),
+        "op11_fill_in_middle": fill_in_middle(),
+        "op12_secret_ledger": secrets(),
+        "op13_merkle_manifest": manifest(),
     }

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemark.llm import (
+    fill_middle,
     fingerprints,
     jaccard_join,
     language,
     licences,
+    merkle,
     mixing,
     near_vectors,
     oracles,
     packing,
     personal_data,
     repeats,
+    secret_ledger,
     toxicity,
 )
 from tidemark.llm.common import table
@@ -35,6 +38,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_vectors": lambda s, d: near_vectors.linked_vectors(table(s, d, "embeddings")),
         "op9_jaccard_join": lambda s, d: jaccard_join.linked_documents(table(s, d, "documents")),
         "op10_document_fingerprints": lambda s, d: fingerprints.edited_fingerprints(table(s, d, "documents")),
+        "op11_fill_in_middle": lambda s, d: fill_middle.document_digests(table(s, d, "documents")),
+        "op12_secret_ledger": lambda s, d: secret_ledger.document_secrets(table(s, d, "documents")),
+        "op13_merkle_manifest": lambda s, d: merkle.document_manifest(table(s, d, "documents")),
         "pipeline": corpus_pipeline.run,
     }
 
