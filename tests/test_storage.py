@@ -1,6 +1,7 @@
 """Writing, reading back, replaying, failing, streaming, declaring tables."""
 
 import datetime as dt
+import gzip
 import json
 
 import pytest
@@ -40,16 +41,21 @@ def test_ingest_is_idempotent_per_batch(lake, raw):
     assert snapshot(lake) == (sorted(once[0] * 2), sorted(once[1] * 2))
 
 
+def records(folder):
+    return [json.loads(line) for f in sorted(folder.glob("*.gz")) for line in gzip.open(f).read().splitlines()]
+
+
 def test_stored_format(lake, raw, tmp_path):
     lake.ingest(raw(event(), "junk"), "b1")
-    bronze = list((tmp_path / "lake/bronze/ingest_date=2026-07-31").glob("batch=b1/*.gz"))
-    rejects = list((tmp_path / "lake/quarantine/reject_reason=invalid_json/ingest_date=2026-07-31").glob("batch=b1/*.gz"))
-    assert len(bronze) == len(rejects) == 1
-    import gzip
-
-    record = json.loads(gzip.open(rejects[0]).read())
-    assert set(record) == {"reject_detail", "rejected_at", "raw_payload"}
-    assert json.loads(gzip.open(bronze[0]).read())["customer_id"] == ORDER["customer_id"]
+    open_ = tmp_path / "lake/open"
+    assert [set(r) for r in records(open_ / "quarantine/batch=b1")] == [{"reject_reason", "reject_detail", "rejected_at", "raw_payload"}]
+    assert [r["customer_id"] for r in records(open_ / "bronze/batch=b1")] == [ORDER["customer_id"]]
+    lake.compact()
+    (bronze,) = (tmp_path / "lake/bronze/ingest_date=2026-07-31").iterdir()
+    (rejects,) = (tmp_path / "lake/quarantine/reject_reason=invalid_json/ingest_date=2026-07-31").iterdir()
+    assert bronze.name.startswith("segment=") and rejects.name == bronze.name
+    assert [set(r) for r in records(rejects)] == [{"reject_detail", "rejected_at", "raw_payload"}]
+    assert [r["customer_id"] for r in records(bronze)] == [ORDER["customer_id"]]
 
 
 def test_failed_quarantine_write_stores_nothing_and_raises(lake, raw, monkeypatch):
@@ -92,7 +98,8 @@ def test_accepted_spellings_reach_silver_and_counters_reconcile(lake, raw):
     ]
     lake.ingest(raw(*odd, *lines), "b1")
     counted = lake.build_silver()
-    assert counted == {"rows_in": 9, "unparseable": 0, "rows_out": 9, "duplicates": 0}
+    # A quantity beyond the column is NULL in silver, and counted.
+    assert counted == {"rows_in": 9, "unparseable": 0, "rows_out": 9, "duplicates": 0, "amounts_lost": 1}
     rows = {r.event_id: r for r in lake.silver().collect()}
     assert all(rows[f"aaaa000{i}"].event_timestamp.hour == 10 for i in range(5))
     assert (rows["bbbb0001"].quantity, rows["bbbb0001"].unit_price) == (1000, 30.0)
@@ -123,7 +130,7 @@ def test_empty_inputs_write_nothing(lake, raw):
 
 
 def test_no_rejects_gives_an_empty_typed_summary(lake, raw):
-    writers.write_bronze(validation.bronze_lines(validation.judge(raw(event()))), lake.bronze_path, "b1")
+    lake.ingest(raw(event()), "b1")
     assert lake.build_silver() and lake.build_gold()
     summary = lake.quarantine_summary()
     assert summary.isEmpty()
@@ -253,7 +260,12 @@ def test_reject_rate_stream_emits_closed_windows(spark, tmp_path):
     assert monitoring.reject_rate_alarm(emitted).where("breaching").count() == 1
 
 
-def test_missing_tables_are_empty_but_other_errors_surface(spark, tmp_path):
-    assert tables.quarantine_or_empty(spark, str(tmp_path / "none")).isEmpty()
+def test_missing_tables_are_empty_but_other_errors_surface(spark, lake, tmp_path):
+    assert lake.quarantine().isEmpty() and lake.bronze().isEmpty()
+    assert lake.quarantine().columns[0] == "reject_reason" and lake.bronze().columns[-1] == "ingest_date"
+    with pytest.raises(Exception):
+        tables.read_open(spark, str(tmp_path / "none"), schemas.BRONZE, "_validated_at").count()
+    (tmp_path / "lake/open/bronze/batch=x").mkdir(parents=True)
+    (tmp_path / "lake/open/bronze/batch=x/part.json.gz").write_bytes(b"not gzip")
     with pytest.raises(Exception):
-        tables.read_bronze(spark, str(tmp_path / "none")).count()
+        lake.bronze().count()

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from tidemark import contract
+from tidemark import schemas
 from tidemark.operators import validation
 
 ORDER = {
@@ -208,8 +209,8 @@ def test_valid_events_equal_the_stored_lines(spark, raw, tmp_path):
 
     payloads = [c[0] for c in CASES if c[1] is None] + [event(unit_price=112.0), event(unit_price=3.70)]
     judged = validation.judge(raw(*payloads))
-    writers.write_bronze(validation.bronze_lines(judged), str(tmp_path / "bronze"), "b")
-    stored = tables.read_bronze(spark, str(tmp_path / "bronze"))
+    writers.write_bronze(validation.bronze_lines(judged), str(tmp_path / "open" / "batch=b"))
+    stored = tables.read_open(spark, str(tmp_path / "open"), schemas.BRONZE, "_validated_at").drop("batch")
     direct = validation.valid_events(judged).select(*stored.columns)
     assert sorted(map(str, stored.collect())) == sorted(map(str, direct.collect()))
 

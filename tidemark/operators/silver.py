@@ -10,6 +10,7 @@ from tidemark.functions import isotime
 from tidemark.functions.numbers import accepted_double, accepted_int
 
 SILVER_COLUMNS = schemas.SILVER.names
+STORED_COLUMNS = schemas.STORED_SILVER.names
 
 # The business order decides; the remaining columns only make ties reproducible.
 _TIE_BREAKERS = (
@@ -25,8 +26,8 @@ _TIE_BREAKERS = (
 )
 
 
-def typed(bronze: DataFrame) -> DataFrame:
-    """Declared types for every column; what does not cast becomes NULL.
+def typed(bronze: DataFrame, *extra: str) -> DataFrame:
+    """Declared types for every column; what does not cast becomes NULL. ``extra`` columns come along.
 
     Instants and amounts are read as validation reads them, so a valid event keeps its values.
     """
@@ -43,9 +44,17 @@ def typed(bronze: DataFrame) -> DataFrame:
         "failure_code",
         F.try_to_timestamp("_validated_at").alias("validated_at"),
         F.ifnull("_is_late_arrival", F.lit(False)).alias("is_late_arrival"),
+        *extra,
     )
 
 
+def amount_lost() -> Column:
+    """An order's quantity or price that validation accepts and no column of silver can hold."""
+    quantity = F.col("quantity").isNotNull() & accepted_int(F.col("quantity")).isNull()
+    price = F.col("unit_price").isNotNull() & accepted_double(F.col("unit_price")).isNull()
+    return F.coalesce((F.col("event_type") == "order_placed") & (quantity | price), F.lit(False))
+
+
 def instant() -> Column:
     text = F.col("event_timestamp")
     # Valid events have ISO-8601 text; what else is stored gets the general cast.
@@ -68,8 +77,8 @@ def dated(events: DataFrame) -> DataFrame:
     )
 
 
-def latest_copy(events: DataFrame) -> DataFrame:
-    """The most recently validated copy of each ``event_id``.
+def latest_copy(events: DataFrame, *last: Column) -> DataFrame:
+    """The most recently validated copy of each ``event_id``; ``last`` decides among equal copies.
 
     Spark trims each map task to one row per key before the shuffle (WindowGroupLimit), so a
     hot key costs one row per task, not one oversized group.
@@ -78,6 +87,7 @@ def latest_copy(events: DataFrame) -> DataFrame:
         F.desc_nulls_last("validated_at"),
         F.desc_nulls_last("event_timestamp"),
         *[F.desc_nulls_last(c) for c in _TIE_BREAKERS],
+        *last,
     )
     ranked = events.withColumn("copy_rank", F.row_number().over(newest_first))
     return ranked.where("copy_rank = 1").drop("copy_rank")

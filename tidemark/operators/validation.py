@@ -244,10 +244,15 @@ def reject_counts(judged: DataFrame) -> DataFrame:
 
 def ingest_counters(judged: DataFrame) -> DataFrame:
     """One row: received, valid, quarantined, and one count per reason."""
+    return judged.agg(*counter_columns())
+
+
+def counter_columns() -> list[Column]:
+    """The counters as aggregates, for a query of its own or to observe a write."""
     rejected = F.col("reject_reason").isNotNull()
-    return judged.agg(
+    return [
         F.count("*").alias("received"),
         F.count_if(~rejected).alias("valid"),
         F.count_if(rejected).alias("quarantined"),
         *[F.count_if(F.col("reject_reason") == r).alias(r) for r in contract.REJECT_REASONS],
-    )
+    ]

@@ -31,6 +31,8 @@ BRONZE_DDL = """
 BRONZE = _struct(BRONZE_DDL)
 
 QUARANTINE = _struct("reject_detail STRING, rejected_at STRING, raw_payload STRING, raw_base64 STRING")
+# A batch that is not compacted yet keeps the reason in its records.
+REJECTS = _struct("reject_reason STRING, reject_detail STRING, rejected_at STRING, raw_payload STRING, raw_base64 STRING")
 
 VERDICTS = _struct(
     "reject_reason STRING, reject_detail STRING, rejected_at STRING, raw_payload STRING, raw_base64 STRING, "
@@ -44,6 +46,8 @@ EVENT_DDL = """
     gross_amount DOUBLE, failure_code STRING, is_late_arrival BOOLEAN, event_date STRING
 """
 SILVER = _struct(EVENT_DDL)
+# Silver's files also have the stamp that decides between copies; its readers leave it out.
+STORED_SILVER = _struct(EVENT_DDL.replace("event_date", "validated_at TIMESTAMP, event_date"))
 
 FACT_ORDERS_DDL = """
     order_key STRING, order_id STRING, customer_key STRING, product_key STRING,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.sources.tables import JSON_TIMESTAMP
 
@@ -12,30 +11,42 @@ from tidemark.sources.tables import JSON_TIMESTAMP
 _GZIP_RECORDS = 500_000
 
 
+def _gzip(df: DataFrame):
+    return df.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", _GZIP_RECORDS)
+
+
+def write_quarantine(rejects: DataFrame, path: str) -> None:
+    """gzip NDJSON of one batch, as it comes: a single folder whatever reasons and days it has.
+
+    Writing the batch again replaces the folder.
+    """
+    _gzip(rejects.drop("ingest_date")).json(path)
+
+
+def write_bronze(lines: DataFrame, path: str) -> None:
+    """gzip NDJSON of one batch, as it comes; ``value`` holds ready JSON text. Writing it again replaces it."""
+    _gzip(lines.select("value")).text(path)
+
+
 def _replace_own_partitions(df: DataFrame):
     """Overwrite the partitions present in ``df`` and leave all others alone."""
-    return (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", _GZIP_RECORDS)
-    )
+    return _gzip(df).option("partitionOverwriteMode", "dynamic")
 
 
-def write_quarantine(rejects: DataFrame, path: str, batch: str) -> None:
-    """gzip NDJSON by reason, ingest day and batch; writing a batch again replaces it."""
-    labelled = rejects.withColumn("batch", F.lit(batch)).hint("rebalance", "reject_reason", "ingest_date")
-    _replace_own_partitions(labelled).partitionBy("reject_reason", "ingest_date", "batch").json(path)
+def write_quarantine_segment(rejects: DataFrame, path: str) -> None:
+    """gzip NDJSON by reason, ingest day and segment; writing a segment again replaces it."""
+    gathered = rejects.hint("rebalance", "reject_reason", "ingest_date")
+    _replace_own_partitions(gathered).partitionBy("reject_reason", "ingest_date", "segment").json(path)
 
 
-def write_bronze(lines: DataFrame, path: str, batch: str) -> None:
-    """gzip NDJSON by ingest day and batch; ``lines`` hold ready JSON text."""
-    labelled = lines.withColumn("batch", F.lit(batch)).hint("rebalance", "ingest_date")
-    _replace_own_partitions(labelled).partitionBy("ingest_date", "batch").text(path)
+def write_bronze_segment(lines: DataFrame, path: str) -> None:
+    """gzip NDJSON by ingest day and segment; ``value`` holds ready JSON text."""
+    gathered = lines.hint("rebalance", "ingest_date")
+    _replace_own_partitions(gathered).partitionBy("ingest_date", "segment").text(path)
 
 
-def write_by_date(events: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
-    """Snappy Parquet by ``event_date``, full overwrite.
+def write_by_date(events: DataFrame, path: str, max_records_per_file: int = 5_000_000, only_own_days: bool = False) -> None:
+    """Snappy Parquet by ``event_date``, full overwrite, or of the days in ``events`` alone.
 
     The rebalance gathers each day so that it ends up in few files; AQE splits a day that
     outgrows one task and joins small ones.
@@ -43,7 +54,7 @@ def write_by_date(events: DataFrame, path: str, max_records_per_file: int = 5_00
     (
         events.hint("rebalance", "event_date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        .option("partitionOverwriteMode", "dynamic" if only_own_days else "static")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("event_date")

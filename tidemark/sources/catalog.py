@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tidemark import schemas
+from tidemark.sinks import folders
 from tidemark.sources.tables import JSON_TIMESTAMP
 
 # Table name -> (location below the root, format, columns, partition column).
@@ -52,6 +53,18 @@ def register_partitions(spark: SparkSession, database: str, table: str) -> None:
     spark.catalog.recoverPartitions(f"{database}.{table}")
 
 
+def register_days(spark: SparkSession, database: str, table: str, path: str, days: list[str]) -> None:
+    """Add the days that have a folder and drop those that have none; other partitions are not looked at."""
+    there = [d for d in days if folders.exists(spark, f"{path}/event_date={d}")]
+    spec = lambda d: f"PARTITION (event_date='{d}')"
+    if there:
+        spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS " + " ".join(spec(d) for d in there))
+    gone = sorted(set(days) - set(there))
+    if gone:
+        spark.sql(f"ALTER TABLE {database}.{table} DROP IF EXISTS " + ", ".join(spec(d) for d in gone))
+    spark.catalog.refreshTable(f"{database}.{table}")
+
+
 def refresh(spark: SparkSession, database: str) -> None:
     for name, (_, _, _, partition) in TABLES.items():
         if partition:

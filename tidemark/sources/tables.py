@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
@@ -17,17 +18,15 @@ def _with_strings(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(n, T.StringType()) for n in names])
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All ingest days; the batch label is storage detail and is left out."""
-    schema = _with_strings(schemas.BRONZE, "ingest_date", "batch")
-    return spark.read.schema(schema).option("basePath", path).json(path).drop("batch")
+def read_segments(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
+    """Compacted NDJSON; partition values and the segment come from the path, the records do not repeat them."""
+    return spark.read.schema(_with_strings(schema, *partitions, "segment")).option("basePath", path).json(path)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    """Reason and ingest day come from the path only; the records do not repeat them."""
-    schema = _with_strings(schemas.QUARANTINE, "reject_reason", "ingest_date", "batch")
-    table = spark.read.schema(schema).option("basePath", path).json(path)
-    return table.select("reject_reason", "reject_detail", "rejected_at", "raw_payload", "raw_base64", "ingest_date")
+def read_open(spark: SparkSession, path: str, schema: T.StructType, stamp: str) -> DataFrame:
+    """Batches that are not compacted yet, with their label; the ingest day is that of the stamp."""
+    table = spark.read.schema(_with_strings(schema, "batch")).option("basePath", path).json(path)
+    return table.withColumn("ingest_date", F.left(F.col(stamp), F.lit(10)))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -52,17 +51,46 @@ def _or_empty(read: Callable[[], DataFrame], empty: Callable[[], DataFrame]) ->
         return empty()
 
 
-def bronze_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    schema = _with_strings(schemas.BRONZE, "ingest_date")
-    return _or_empty(lambda: read_bronze(spark, path), lambda: spark.createDataFrame([], schema))
+def segments_or_empty(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
+    return _or_empty(
+        lambda: read_segments(spark, path, schema, *partitions),
+        lambda: spark.createDataFrame([], _with_strings(schema, *partitions, "segment")),
+    )
 
 
-def silver_or_empty(spark: SparkSession, path: str) -> DataFrame:
+def open_or_empty(spark: SparkSession, path: str, schema: T.StructType, stamp: str) -> DataFrame:
     return _or_empty(
-        lambda: read_silver(spark, path), lambda: spark.createDataFrame([], schemas.SILVER)
+        lambda: read_open(spark, path, schema, stamp),
+        lambda: spark.createDataFrame([], _with_strings(schema, "batch", "ingest_date")),
+    )
+
+
+# Every stored line ends with the fields that validation adds, so the last stamp is its own.
+_STAMP_OF_LINE = r'.*"_validated_at":"(\d{4}-\d{2}-\d{2})'
+_LINE_END_CHARS = 100
+
+
+def open_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, batch, ingest_date): the stored lines of open batches as text."""
+    columns = _with_strings(T.StructType([]), "value", "batch")
+    lines = _or_empty(
+        lambda: spark.read.schema(columns).option("basePath", path).option("lineSep", "\n").text(path),
+        lambda: spark.createDataFrame([], columns),
     )
+    tail = F.right(F.col("value"), F.lit(_LINE_END_CHARS))
+    return lines.withColumn("ingest_date", F.regexp_extract(tail, _STAMP_OF_LINE, 1))
 
 
-def quarantine_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    schema = _with_strings(schemas.QUARANTINE, "reject_reason", "ingest_date")
-    return _or_empty(lambda: read_quarantine(spark, path), lambda: spark.createDataFrame([], schema))
+def segment_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, ingest_date, segment): the stored lines of segments as text."""
+    columns = _with_strings(T.StructType([]), "value", "ingest_date", "segment")
+    return _or_empty(
+        lambda: spark.read.schema(columns).option("basePath", path).option("lineSep", "\n").text(path),
+        lambda: spark.createDataFrame([], columns),
+    )
+
+
+def silver_or_empty(spark: SparkSession, path: str) -> DataFrame:
+    return _or_empty(
+        lambda: read_silver(spark, path), lambda: spark.createDataFrame([], schemas.SILVER)
+    )
