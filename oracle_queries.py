@@ -5,6 +5,8 @@ Shared steps are common table expressions; each query lists the steps it needs.
 
 from __future__ import annotations
 
+from lake_queries import ALARM_DELAY_DAYS, BUFFER_BYTES, HEARTBEAT_DAYS
+
 _EVENT_PAYLOADS = """
 base AS (
     SELECT event_id AS id,
@@ -375,6 +377,35 @@ SELECT h.period_start, CAST(p.lag AS DOUBLE) AS max_lag_seconds, coalesce(p.lag
 FROM hours h LEFT JOIN points p ON h.period_start = p.period_start"""
 
 
+# A further hours' spine: on to the last hour that the watermark closes after the last heartbeat.
+_FRESHNESS_STREAM = _FRESHNESS_ALARM.replace(
+    "(SELECT max(period_start) FROM points)",
+    f"(SELECT date_trunc('hour', max(arrived_at) + INTERVAL {HEARTBEAT_DAYS - ALARM_DELAY_DAYS} DAY) - INTERVAL 1 HOUR FROM raw)",
+)
+
+_NUMBER = "TRY_CAST(regexp_extract(value, '\"event_id\":\"#?([0-9]{12})\"', 1) AS BIGINT)"
+
+
+def _changed(value: str) -> str:
+    """The event payloads with another text."""
+    return _EVENT_PAYLOADS.replace("raw AS (", "plain_raw AS (") + f", raw AS (SELECT {value} AS value, arrived_at FROM plain_raw)"
+
+
+_SPELLED = _changed(
+    f"""replace(value, 'Z"', CASE WHEN {_NUMBER} % 3 = 1 THEN '"' WHEN {_NUMBER} % 3 = 2 THEN '+02:00"' ELSE 'Z"' END)"""
+)
+_JUDGED_SPELLED = _JUDGED.replace(
+    "try_strptime(json_extract_string(j, '$.event_timestamp'), '%Y-%m-%dT%H:%M:%SZ') AS happened_at",
+    """coalesce(try_strptime(json_extract_string(j, '$.event_timestamp'), '%Y-%m-%dT%H:%M:%SZ'),
+               try_strptime(json_extract_string(j, '$.event_timestamp'), '%Y-%m-%dT%H:%M:%S'),
+               try_strptime(json_extract_string(j, '$.event_timestamp'), '%Y-%m-%dT%H:%M:%S+02:00') - INTERVAL 2 HOUR) AS happened_at""",
+)
+_GROWN = _changed(
+    f"""CASE WHEN {_NUMBER} % 97 = 0 AND contains(value, '"event_type":"order_placed"') AND regexp_matches(value, '"quantity":[0-9]')
+         THEN replace(value, '"quantity":', '"quantity":1000000000') ELSE value END"""
+)
+
+
 def build(as_of: str) -> dict[str, str]:
     """Query name -> SQL. ``as_of`` is the clock the freshness queries are asked at."""
     bronze = "SELECT * FROM bronze"
@@ -478,6 +509,36 @@ def build(as_of: str) -> dict[str, str]:
             "SELECT 'bronze' AS side, event_id AS item, _validated_at AS stamped_at FROM bronze "
             "UNION ALL SELECT reject_reason, raw_payload, rejected_at FROM rejected",
         ),
+        "stream_text_replay": _sql(
+            _TO_BRONZE + [_REJECTED],
+            "SELECT 'bronze' AS side, event_id AS item, _validated_at AS stamped_at FROM bronze "
+            "UNION ALL SELECT reject_reason, raw_payload, rejected_at FROM rejected",
+        ),
+        "compacted_bronze": _sql(_TO_BRONZE, bronze),
+        "compacted_quarantine": _sql([_JUDGED, _REJECTED], "SELECT * FROM rejected"),
+        "silver_incremental": _sql(_TO_SILVER, silver),
+        "catalog_incremental": _sql(_TO_SILVER, "SELECT event_date, count(*) AS events FROM silver GROUP BY event_date"),
+        "buffered_ingest": _sql(
+            [_JUDGED],
+            "SELECT count(*) AS received, count(reject_reason) AS quarantined, CAST(0 AS BIGINT) AS oversized_batches, "
+            f"sum(length(value)) > {BUFFER_BYTES} AS several_batches FROM judged",
+        ),
+        "reject_rate_alarm_stream": _sql([_JUDGED], "").rstrip() + _RATE_ALARM,
+        "freshness_alarm_stream": _sql(_TO_TYPED, "").rstrip() + _FRESHNESS_STREAM,
+        "accepted_times": "WITH " + ",".join([_SPELLED, _JUDGED_SPELLED]) + """
+SELECT event_id, left(event_timestamp, 10) AS event_date, happened_at AS event_timestamp,
+       epoch(arrived_at) - epoch(happened_at) > 3600 AS is_late_arrival, arrived_at AS validated_at
+FROM judged WHERE reject_reason IS NULL""",
+        "amounts_lost": "WITH " + ",".join([_GROWN, _JUDGED, _BRONZE, _TYPED, _SILVER]) + """
+SELECT (SELECT count(*) FROM typed) AS rows_in, CAST(0 AS BIGINT) AS unparseable,
+       (SELECT count(*) FROM silver_copies WHERE rn > 1) AS duplicates, (SELECT count(*) FROM silver) AS rows_out,
+       (SELECT count(*) FROM typed WHERE event_type = 'order_placed' AND (quantity IS NULL OR unit_price IS NULL)) AS amounts_lost""",
+        "empty_steps": _sql(
+            [*_TO_FACT, _REJECTED],
+            "SELECT (SELECT count(*) FROM fact) AS clean_facts, CAST(0 AS BIGINT) AS clean_summary_rows, "
+            "(SELECT count(*) FROM rejected) AS dirty_quarantined, CAST(0 AS BIGINT) AS dirty_silver_rows, "
+            "CAST(0 AS BIGINT) AS dirty_steps_built",
+        ),
         "reject_rate_alarm": _sql([_JUDGED], "").rstrip() + _RATE_ALARM,
         "freshness_alarm": _sql(_TO_TYPED, "").rstrip() + _FRESHNESS_ALARM,
     }

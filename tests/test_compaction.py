@@ -20,7 +20,7 @@ def lake(spark, tmp_path):
 DAYS = [dt.datetime(2026, 7, 30, 23, 59), dt.datetime(2026, 7, 31, 12, 0)]
 
 
-def fill(lake, raw, n=3):
+def fill(lake, raw, n=2):
     for k in range(n):
         lake.ingest(raw(*PAYLOADS, event(event_id=f"dddd{k:04d}"), now=DAYS[k % 2]), f"it's {k}/x")
 
@@ -32,7 +32,7 @@ def files(tmp_path, below):
 def test_compaction_changes_where_rows_are_and_nothing_else(lake, raw, tmp_path):
     fill(lake, raw)
     before = snapshot(lake)
-    assert lake.compact() == 3
+    assert lake.compact() == 2
     assert snapshot(lake) == before  # the replaced folders are still there, and left out
     assert files(tmp_path, "open")
     lake.vacuum()
@@ -54,7 +54,7 @@ def test_a_replay_after_compaction_stores_nothing(lake, raw):
     assert lake.bronze().count() == len(before[0]) + 1 and lake.segments().open_batches() == ["new"]
 
 
-@pytest.mark.parametrize("broken", ["write_quarantine_segment", "write_bronze_segment", "counters", "done"])
+@pytest.mark.parametrize("broken", ["write_bronze_segment", "done"])
 def test_a_compaction_that_died_is_taken_up(lake, raw, tmp_path, monkeypatch, broken):
     fill(lake, raw)
     before = snapshot(lake)
@@ -77,7 +77,7 @@ def test_a_compaction_that_died_is_taken_up(lake, raw, tmp_path, monkeypatch, br
 
 def test_segments_of_closed_days_become_one(lake, raw, tmp_path):
     for k in range(4):
-        lake.ingest(raw(*PAYLOADS, now=DAYS[k % 2]), f"b{k}")
+        lake.ingest(raw(*PAYLOADS[::9], event(), now=DAYS[k % 2]), f"b{k}")
         lake.compact()
     lake.vacuum()
     before = snapshot(lake)
@@ -88,7 +88,7 @@ def test_segments_of_closed_days_become_one(lake, raw, tmp_path):
     lake.vacuum()
     assert snapshot(lake) == before
     assert (segments("2026-07-30"), segments("2026-07-31")) == (1, 2)
-    assert lake.ingest(raw("again"), "b0")["received"] == len(PAYLOADS)
+    assert lake.ingest(raw("again"), "b0")["received"] == len(PAYLOADS[::9]) + 1
 
 
 def test_the_manifest_names_folders_alone(lake, raw):

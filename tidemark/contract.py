@@ -57,3 +57,7 @@ RATE_PERIODS_TO_ALARM = 2
 # Freshness alarm.
 FRESHNESS_PERIOD_SECONDS = 3600
 FRESHNESS_THRESHOLD_SECONDS = 86_400
+
+# A buffer of arrivals is stored at this size or age, whichever comes first.
+BUFFER_BYTES = 5 * 1024 * 1024
+BUFFER_SECONDS = 60

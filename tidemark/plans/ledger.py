@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.sinks import folders
 
-def stored(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame | None:
-    """The rows that a finished step left at the path, if it did."""
-    try:
-        rows = spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The rows that a finished step left at the path, which may have wildcards, if it did."""
+    if not folders.found(spark, path):
         return None
+    rows = spark.read.schema(schema).parquet(path)
     return None if rows.isEmpty() else rows
 
 

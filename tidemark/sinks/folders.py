@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def found(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, which may have wildcards, leads to anything."""
+    system, place = _at(spark, pattern)
+    return len(system.globStatus(place) or []) > 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """A folder and what is in it; one that is gone already is fine."""
     system, place = _at(spark, path)

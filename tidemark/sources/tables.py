@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.sinks import folders
 
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -41,28 +41,19 @@ def read_raw_json_layout(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SILVER).option("timestampFormat", JSON_TIMESTAMP).json(path)
 
 
-def _or_empty(read: Callable[[], DataFrame], empty: Callable[[], DataFrame]) -> DataFrame:
-    """A table that was never written is empty; any other read problem still surfaces."""
-    try:
-        return read()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty()
+def _or_empty(spark: SparkSession, path: str, read: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
+    """A table that was never written is empty; every read problem surfaces."""
+    return read() if folders.exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def segments_or_empty(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
-    return _or_empty(
-        lambda: read_segments(spark, path, schema, *partitions),
-        lambda: spark.createDataFrame([], _with_strings(schema, *partitions, "segment")),
-    )
+    columns = _with_strings(schema, *partitions, "segment")
+    return _or_empty(spark, path, lambda: read_segments(spark, path, schema, *partitions), columns)
 
 
 def open_or_empty(spark: SparkSession, path: str, schema: T.StructType, stamp: str) -> DataFrame:
-    return _or_empty(
-        lambda: read_open(spark, path, schema, stamp),
-        lambda: spark.createDataFrame([], _with_strings(schema, "batch", "ingest_date")),
-    )
+    columns = _with_strings(schema, "batch", "ingest_date")
+    return _or_empty(spark, path, lambda: read_open(spark, path, schema, stamp), columns)
 
 
 # Every stored line ends with the fields that validation adds, so the last stamp is its own.
@@ -73,10 +64,7 @@ _LINE_END_CHARS = 100
 def open_lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, batch, ingest_date): the stored lines of open batches as text."""
     columns = _with_strings(T.StructType([]), "value", "batch")
-    lines = _or_empty(
-        lambda: spark.read.schema(columns).option("basePath", path).option("lineSep", "\n").text(path),
-        lambda: spark.createDataFrame([], columns),
-    )
+    lines = _lines_or_empty(spark, path, columns)
     tail = F.right(F.col("value"), F.lit(_LINE_END_CHARS))
     return lines.withColumn("ingest_date", F.regexp_extract(tail, _STAMP_OF_LINE, 1))
 
@@ -84,13 +72,13 @@ def open_lines(spark: SparkSession, path: str) -> DataFrame:
 def segment_lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, ingest_date, segment): the stored lines of segments as text."""
     columns = _with_strings(T.StructType([]), "value", "ingest_date", "segment")
-    return _or_empty(
-        lambda: spark.read.schema(columns).option("basePath", path).option("lineSep", "\n").text(path),
-        lambda: spark.createDataFrame([], columns),
-    )
+    return _lines_or_empty(spark, path, columns)
+
+
+def _lines_or_empty(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    read = lambda: spark.read.schema(columns).option("basePath", path).option("lineSep", "\n").text(path)
+    return _or_empty(spark, path, read, columns)
 
 
 def silver_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    return _or_empty(
-        lambda: read_silver(spark, path), lambda: spark.createDataFrame([], schemas.SILVER)
-    )
+    return _or_empty(spark, path, lambda: read_silver(spark, path), schemas.SILVER)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import contract
 from tidemark.operators import monitoring, validation
 from tidemark.plans.lakehouse import Lakehouse
+from tidemark.sources.raw import stream_raw
 
 
 def _batch_label(batch: DataFrame, batch_id: int) -> str:
@@ -43,11 +45,30 @@ def start_ingest(
     return (
         raw_stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "60 seconds"}))
+        .trigger(**(trigger or {"processingTime": f"{contract.BUFFER_SECONDS} seconds"}))
         .start()
     )
 
 
+def start_buffered_ingest(
+    spark: SparkSession,
+    path: str,
+    lake: Lakehouse,
+    checkpoint: str,
+    max_bytes: int = contract.BUFFER_BYTES,
+    stamped: bool = False,
+    on_batch: Callable[[str, dict[str, int]], None] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """``start_ingest`` of a landing folder whose batches are bounded in bytes as well as in age.
+
+    Of what has landed, a batch takes files up to ``max_bytes`` and leaves the rest to the next; only a
+    single file that is larger by itself makes a larger batch. Nothing waits for a batch to fill.
+    """
+    stream = stream_raw(spark, path, max_bytes_per_trigger=max_bytes, stamped=stamped)
+    return start_ingest(stream, lake, checkpoint, on_batch, trigger)
+
+
 def reject_rate_stream(raw_stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Reject rate per closed period. The watermark bounds this metric's state only; the
     events themselves go through ``start_ingest``, which has none."""
