@@ -242,8 +242,8 @@ dates AS (
 _DAILY = """
 daily AS (
     SELECT d.full_date AS day, d.day_name, d.is_weekend, count(*) AS order_lines,
-           round(sum(f.gross_amount), 2) AS revenue,
-           CAST(round(CAST(avg(f.gross_amount) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS avg_order_value
+           CAST(sum(CAST(f.gross_amount AS DECIMAL(28, 2))) AS DOUBLE) AS revenue,
+           CAST(round(CAST(CAST(sum(CAST(f.gross_amount AS DECIMAL(28, 2))) AS DOUBLE) / count(f.gross_amount) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS avg_order_value
     FROM fact f JOIN dates d ON f.date_key = d.date_key
     GROUP BY d.full_date, d.day_name, d.is_weekend
 )"""
@@ -333,7 +333,7 @@ FROM (SELECT (SELECT count(*) FROM fact) AS gold_fact_rows,
     (SELECT count(DISTINCT customer_key) FROM customers) AS gold_customers,
     (SELECT count(DISTINCT product_key) FROM products) AS gold_products,
     (SELECT CAST(coalesce(sum(reject_count), 0) AS BIGINT) FROM summary) AS quarantined_rows,
-    (SELECT round(coalesce(sum(gross_amount), 0), 2) FROM fact) AS gross_revenue,
+    (SELECT CAST(coalesce(sum(CAST(gross_amount AS DECIMAL(28, 2))), 0) AS DOUBLE) FROM fact) AS gross_revenue,
     (SELECT count(*) FROM fact WHERE is_late_arrival) AS late_arrivals,
     (SELECT CAST(coalesce(sum(total_events), 0) AS BIGINT) FROM customers) AS total_valid_events)"""
 
@@ -449,7 +449,7 @@ def build(as_of: str) -> dict[str, str]:
         "daily_revenue": _sql([*_TO_FACT, _DAYS, _DAILY], "SELECT * FROM daily ORDER BY day"),
         "revenue_totals": _sql(
             [*_TO_FACT, _DAYS, _DAILY],
-            "SELECT round(sum(revenue), 2) AS revenue, CAST(sum(order_lines) AS BIGINT) AS order_lines, "
+            "SELECT CAST(sum(CAST(revenue AS DECIMAL(28, 2))) AS DOUBLE) AS revenue, CAST(sum(order_lines) AS BIGINT) AS order_lines, "
             "count(*) AS days FROM daily",
         ),
         "quarantine_by_reason": _sql(
@@ -466,12 +466,12 @@ def build(as_of: str) -> dict[str, str]:
         ),
         "bench_narrow_projection": _sql(
             [*_TO_SILVER, _LAYOUTS],
-            "SELECT layout, (SELECT round(sum(gross_amount), 2) FROM silver) AS total_revenue FROM layouts",
+            "SELECT layout, (SELECT CAST(sum(CAST(gross_amount AS DECIMAL(28, 2))) AS DOUBLE) FROM silver) AS total_revenue FROM layouts",
         ),
         "bench_date_filtered": _sql(
             [*_TO_SILVER, _LAYOUTS],
             """SELECT layout, event_type, n, revenue FROM layouts, (
-                SELECT event_type, count(*) AS n, round(sum(gross_amount), 2) AS revenue FROM silver
+                SELECT event_type, count(*) AS n, CAST(sum(CAST(gross_amount AS DECIMAL(28, 2))) AS DOUBLE) AS revenue FROM silver
                 WHERE event_date = (SELECT event_date FROM silver GROUP BY event_date
                                     ORDER BY count(*) DESC, event_date LIMIT 1)
                 GROUP BY event_type)""",

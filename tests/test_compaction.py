@@ -77,7 +77,7 @@ def test_a_compaction_that_died_is_taken_up(lake, raw, tmp_path, monkeypatch, br
 
 def test_segments_of_closed_days_become_one(lake, raw, tmp_path):
     for k in range(4):
-        lake.ingest(raw(*PAYLOADS[::9], event(), now=DAYS[k % 2]), f"b{k}")
+        lake.ingest(raw(*PAYLOADS[::9], event(event_timestamp="2026-07-30T10:00:00Z"), now=DAYS[k % 2]), f"b{k}")
         lake.compact()
     lake.vacuum()
     before = snapshot(lake)

@@ -105,3 +105,15 @@ def test_cents_settles_noise(spark):
         *[numbers.cents(F.col(c)).alias(c) for c in "abc"]
     ).first()
     assert tuple(row) == (10.01, 10.01, 10.0)
+
+
+def test_money_adds_up_exactly_in_any_order(spark):
+    from tidemark.functions.numbers import exact_sum
+
+    def total(*amounts):
+        return spark.createDataFrame([(a,) for a in amounts], "a double").agg(exact_sum(F.col("a"))).first()[0]
+
+    assert total(*[0.1] * 10) == 1.0 and total(0.1, 0.2, 0.3) == total(0.3, 0.2, 0.1) == 0.6
+    assert total(1e20, 0.01, -1e20) == total(-1e20, 1e20, 0.01) == 0.01
+    assert total(1e300, 0.1) == 1e300 and total(None, 2.5) == 2.5
+    assert total(None) is None and total() is None

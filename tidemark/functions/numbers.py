@@ -103,3 +103,14 @@ def accepted_double(text: Column) -> Column:
 def cents(amount: Column) -> Column:
     """Round an average to cents, first settling noise left by the order of summation."""
     return F.round(F.round(amount, 9), 2)
+
+
+def exact_sum(amount: Column) -> Column:
+    """Sum of amounts in cents, the same whatever the order of rows; NULL if there is none.
+
+    Amounts are added as decimals and only the total is a double again. An amount beyond 26 digits,
+    which has no cents left as a double, is added as a double.
+    """
+    exact = amount.try_cast("decimal(28,2)")
+    huge = F.sum(F.when(exact.isNull(), amount))
+    return F.coalesce(F.sum(exact).cast("double") + F.coalesce(huge, F.lit(0.0)), huge)

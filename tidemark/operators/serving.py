@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract
-from tidemark.functions.numbers import cents
+from tidemark.functions.numbers import cents, exact_sum
 
 
 def stage_metrics(
@@ -22,7 +22,7 @@ def stage_metrics(
     parts = [
         fact.agg(
             F.count("*").alias("gold_fact_rows"),
-            F.round(F.sum("gross_amount"), 2).alias("gross_revenue"),
+            exact_sum(F.col("gross_amount")).alias("gross_revenue"),
             F.count_if("is_late_arrival").alias("late_arrivals"),
         ),
         dim_customer.agg(
@@ -55,9 +55,12 @@ def daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """
     per_day = fact.groupBy("date_key").agg(
         F.count("*").alias("order_lines"),
-        F.round(F.sum("gross_amount"), 2).alias("revenue"),
-        cents(F.avg("gross_amount")).alias("avg_order_value"),
+        exact_sum(F.col("gross_amount")).alias("revenue"),
+        F.count("gross_amount").alias("priced_lines"),
     )
+    # A day without a priced line has no average.
+    average = cents(F.col("revenue") / F.nullif("priced_lines", F.lit(0)))
+    per_day = per_day.withColumn("avg_order_value", average)
     calendar = dim_date.select("date_key", F.col("full_date").alias("day"), "day_name", "is_weekend")
     return (
         per_day.join(calendar, "date_key")
@@ -68,7 +71,7 @@ def daily_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def revenue_totals(daily: DataFrame) -> DataFrame:
     return daily.agg(
-        F.coalesce(F.round(F.sum("revenue"), 2), F.lit(0.0)).alias("revenue"),
+        F.coalesce(exact_sum(F.col("revenue")), F.lit(0.0)).alias("revenue"),
         F.coalesce(F.sum("order_lines"), F.lit(0)).alias("order_lines"),
         F.count("*").alias("days"),
     )
@@ -122,7 +125,7 @@ def late_arrivals(events: DataFrame) -> DataFrame:
 
 
 def narrow_projection(events: DataFrame) -> DataFrame:
-    return events.agg(F.sum("gross_amount").alias("total_revenue"))
+    return events.agg(exact_sum(F.col("gross_amount")).alias("total_revenue"))
 
 
 def date_filtered(events: DataFrame, event_date: str) -> DataFrame:
@@ -130,7 +133,7 @@ def date_filtered(events: DataFrame, event_date: str) -> DataFrame:
     return (
         events.where(F.col("event_date") == event_date)
         .groupBy("event_type")
-        .agg(F.count("*").alias("n"), F.sum("gross_amount").alias("revenue"))
+        .agg(F.count("*").alias("n"), exact_sum(F.col("gross_amount")).alias("revenue"))
     )
 
 
