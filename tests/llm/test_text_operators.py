@@ -72,6 +72,29 @@ def test_signatures_never_miss_a_pair_at_the_threshold():
             assert len(np.intersect1d(layout.signatures(left), layout.signatures(right)))
 
 
+def test_jaccard_of_an_id_with_several_texts(spark):
+    rng = random.Random(14)
+    a, b = prose(rng, 60), prose(rng, 80)
+    rows = [(5, a), (5, b), (5, b), (1, a + " more"), (7, b + " more"), (9, prose(rng, 50)), (3, "")]
+    for _ in range(2):
+        rows.reverse()
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.linked_documents(table(spark, rows)).collect()}
+        assert got == {(5, 58, 1), (5, 78, 1), (1, 59, 1), (7, 79, 1), (9, 48, 9), (3, 0, 3)}
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdeé", k=rng.choice([1, 2, 5, 70, 200]))) for _ in range(400)]
+    text = "".join(w + rng.choice([" ", "\n", " \t ", "\x0b"]) for w in words).encode()
+    whole = jaccard_join.word_hashes(text)
+    assert len(whole) == len(words) and len(np.unique(whole)) == len(set(words))
+    assert [int(jaccard_join.word_hashes(w.encode())[0]) for w in words] == whole.tolist()
+    assert (jaccard_join.word_hashes(b"  A\xc3\x89Z\r") == jaccard_join.word_hashes("aÉz".encode())).all()
+    assert jaccard_join.word_hashes(b" \n ").size == 0 == jaccard_join.word_hashes(b"").size
+    monkeypatch.setattr(jaccard_join, "PIECE", 100)
+    assert (jaccard_join.word_hashes(text) == whole).all()
+
+
 def test_jaccard_of_null_ids_and_empty_tables(spark):
     got = jaccard_join.linked_documents(table(spark, [(None, "a b c d"), (1, "a b c d"), (1, "a b c d")])).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (1, 1), (1, 1)]

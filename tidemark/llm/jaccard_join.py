@@ -13,18 +13,21 @@ filled one with every similar set. If both have more, both sign again with the d
 
 From signatures to links, linear in their number:
 
-1. signatures are range-sorted by (signature, document): neighbours within a signature are
-   joined by an edge, and a signature with a third of all rows is spread over many tasks;
+1. one pass over the texts stores size, digest, bucket counts and signatures. Equal sets become one
+   node: from here on copies do not take part. Signatures are range-sorted by (signature, node):
+   neighbours within a signature are joined by an edge, and a signature with a third of all rows is
+   spread over many tasks;
 2. components of these edges hold every pair that shares a signature;
 3. a component too large for one block is divided again: blocks of it are compared by the
    counts of hashes in ``BUCKETS`` buckets, whose minima bound every intersection from above, and
    pairs that cannot be similar stay apart;
 4. each component's distinct sets are compared exactly, in blocks of bounded size: only pairs
    of blocks whose sizes allow a link meet, and a block pair yields a spanning forest of links;
-5. components of the links are the result. Copies with equal sets are joined by digest.
+5. components of the links are the result, which each row takes from its set by digest.
 
 Null and empty texts have no shingles and link with nothing. A null id links with nothing and
-has a null component. Rows that repeat an id are one node. Extra columns are ignored.
+has a null component. Rows that repeat an id have their own texts' numbers, and the links of all of
+them are links of the id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +50,8 @@ BLOCK_SETS, BLOCK_SHINGLES = 2000, 1 << 20
 RECUTS = 3
 #: Buckets of hashes, counted in a byte each, that bound intersections.
 BUCKETS = 256
-_MEMO = 300_000
+#: Bytes of a text whose words are hashed at a time.
+PIECE = 1 << 20
 _U = np.uint64
 
 
@@ -59,25 +62,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_BYTES = np.arange(256, dtype=np.uint8)
+_LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+_IN_WORD = ~np.isin(_BYTES, [32, 9, 10, 11, 12, 13])
+#: A word for each byte at each of 64 places; beyond them a place's 64-block multiplies it.
+_PLACES = 64
+_TABLE = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """Hashes of the words in a text, A-Z taken as a-z. Works on slices of the text, cut between words."""
+    found, begin = [], 0
+    while begin < len(data):
+        end = begin + PIECE
+        while end < len(data) and _IN_WORD[data[end]]:
+            end += 1
+        found.append(_hashes_of_piece(np.frombuffer(data, dtype=np.uint8, count=min(end, len(data)) - begin, offset=begin)))
+        begin = end
+    return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
+
+
+def _hashes_of_piece(octets: np.ndarray) -> np.ndarray:
+    inside = _IN_WORD[octets]
+    turns = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    lengths = turns[1::2] - turns[::2]
+    if not len(lengths):
+        return np.empty(0, dtype=np.uint64)
+    firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
+    values = _TABLE[(place % _PLACES) << 8 | _LOWER[octets[inside]]]
+    if int(lengths.max()) > _PLACES:
+        values = values * ((place // _PLACES).astype(np.uint64) * _U(2) + _U(1))
+    return mix(np.add.reduceat(values, firsts) + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word n-grams."""
+    """Sorted distinct 64-bit hashes of a text's word n-grams; keeps nothing between texts."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, {}
+        self.words = words
 
     def __call__(self, text: str) -> np.ndarray:
-        # On bytes, lower() changes A-Z alone and split() cuts at space and U+0009..U+000D alone.
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        if len(self.memo) > _MEMO:
-            self.memo = {}
-        memo = self.memo
-        for word in words:
-            if word not in memo:
-                memo[word] = xxhash.xxh3_64_intdigest(word)
-        h = np.fromiter((memo[w] for w in words), dtype=np.uint64, count=len(words))
-        n = min(self.words, len(words))
+        h = word_hashes(text.encode("utf-8", "surrogatepass"))
+        if not len(h):
+            return h
+        n = min(self.words, len(h))
         out = np.full(len(h) - n + 1, n, dtype=np.uint64)
         for i in range(n):
             out = mix(out * _U(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i])
@@ -163,33 +192,30 @@ def bucket_counts(hashes: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes() if len(hashes) and counts.max() < 256 else b""
 
 
-def shingled(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, d1, d2, buckets): number, digest and bucket counts of the shingles of every whole text."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(words)
-        for batch in slices(batches):
-            rows = [(len(s), *digest(s), bucket_counts(s)) for s in map(shingles, batch.column(1).to_pylist())]
-            columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
-            columns.append(pa.array([r[3] for r in rows], pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "d1", "d2", "buckets"])
-
-    return docs.mapInArrow(scan, "doc_id long, n long, d1 long, d2 long, buckets binary")
+_SHINGLED = "doc_id long, n long, d1 long, d2 long, buckets binary, sigs array<long>"
 
 
-def signed(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
-    """(sig, doc_id): a row for each signature of every document with an id."""
+def shingled(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
+    """(doc_id, n, d1, d2, buckets, sigs): number, digest, bucket counts and signatures of the shingles of every whole text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in slices(batches):
-            found = [layout.signatures(shingles(text)) for text in batch.column(1).to_pylist()]
-            docs_of = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found), pa.int64()), pa.array(docs_of, pa.int64())], names=["sig", "doc_id"]
-            )
-
-    return docs.filter(F.col("doc_id").isNotNull()).mapInArrow(scan, "sig long, doc_id long")
+            sets = [shingles(text) for text in batch.column(1).to_pylist()]
+            sigs = [layout.signatures(s) for s in sets]
+            digests = [digest(s) for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32)
+            columns = [
+                batch.column(0),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([d[0] for d in digests], pa.int64()),
+                pa.array([d[1] for d in digests], pa.int64()),
+                pa.array([bucket_counts(s) for s in sets], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs), pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", "buckets", "sigs"])
+
+    return docs.mapInArrow(scan, _SHINGLED)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,9 +251,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signature_edges(rows: DataFrame) -> DataFrame:
-    """(a, b): edges that connect all documents of each signature."""
+    """(a, b): edges that connect all sets of each signature."""
     spark = rows.sparkSession
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "doc_id").sortWithinPartitions("sig", "doc_id")
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "node").sortWithinPartitions("sig", "node")
     found = stored(ordered.mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
     # Two rows a part: a signature that goes on in the next part is joined across the border.
     ends = found.filter(~F.col("edge")).orderBy("part", "b").select("a", "sig").collect()
@@ -297,7 +323,7 @@ def possible(counts: np.ndarray, sizes: np.ndarray, known: np.ndarray, sides: np
     return pairs | pairs.T
 
 
-def divided(members: DataFrame, sized: DataFrame, layout: Layout) -> DataFrame:
+def divided(members: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame:
     """The members of large candidate components, in smaller components that still hold every similar pair."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,16 +348,15 @@ def divided(members: DataFrame, sized: DataFrame, layout: Layout) -> DataFrame:
         yield found()
 
     spark = members.sparkSession
-    counts = sized.select("doc_id", "n", "buckets").dropDuplicates(["doc_id"])
-    routed = _blocks(members, layout.growth).join(counts, "doc_id")
-    keyed = routed.select(F.to_json("task").alias("task"), "side", "doc_id", "n", "buckets")
-    ordered = keyed.repartition(shuffle_partitions(spark), "task").sortWithinPartitions("task", "side", "doc_id")
-    parts = components(ordered.mapInArrow(compare, "a long, b long")).withColumnRenamed("node", "doc_id")
-    return members.drop("component").join(parts, "doc_id").select("doc_id", "component", "n")
+    routed = _blocks(members, layout.growth).join(classes.select("node", "n", "buckets"), "node")
+    keyed = routed.select(F.to_json("task").alias("task"), "side", "node", "n", "buckets")
+    ordered = keyed.repartition(shuffle_partitions(spark), "task").sortWithinPartitions("task", "side", "node")
+    parts = components(ordered.mapInArrow(compare, "a long, b long"))
+    return members.drop("component").join(parts, "node").select("node", "component", "n")
 
 
 def _blocks(members: DataFrame, growth: float) -> DataFrame:
-    """(doc_id, task, side): the block comparisons that each member of a candidate component takes part in.
+    """(node, task, side): the block comparisons that each member of a candidate component takes part in.
 
     A component's members of one band are dealt into blocks by a hash of the id. A component of one
     block is one task; else blocks meet within a band and with the next band.
@@ -349,7 +374,7 @@ def _blocks(members: DataFrame, growth: float) -> DataFrame:
         .join(sized.select("component", "band", "blocks"), ["component", "band"])
         .join(blocks_of(1, "above"), ["component", "band"], "left")
         .join(blocks_of(-1, "below"), ["component", "band"], "left")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     )
     tag = lambda b1, k1, b2, k2, side: F.struct(
         b1.alias("band"), k1.alias("block"), b2.alias("other_band"), k2.alias("other"), F.lit(side).alias("side")
@@ -364,12 +389,12 @@ def _blocks(members: DataFrame, growth: float) -> DataFrame:
     none = F.array().cast("array<struct<band:int,block:int,other_band:int,other:int,side:int>>")
     one = F.array(tag(F.lit(-1), F.lit(0), F.lit(-1), F.lit(0), 0))
     tasks = F.when(F.col("single"), one).otherwise(F.concat(own, F.coalesce(up, none), F.coalesce(down, none)))
-    return dealt.select("doc_id", "component", F.explode(tasks).alias("t")).select(
-        "doc_id", F.struct("component", "t.band", "t.block", "t.other_band", "t.other").alias("task"), "t.side"
+    return dealt.select("node", "component", F.explode(tasks).alias("t")).select(
+        "node", F.struct("component", "t.band", "t.block", "t.other_band", "t.other").alias("task"), "t.side"
     )
 
 
-def verified_links(docs: DataFrame, members: DataFrame, words: int, layout: Layout) -> DataFrame:
+def verified_links(docs: DataFrame, members: DataFrame, classes: DataFrame, words: int, layout: Layout) -> DataFrame:
     """(a, b): a spanning forest of the exact links within each candidate component."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,50 +409,77 @@ def verified_links(docs: DataFrame, members: DataFrame, words: int, layout: Layo
             )
 
         for batch in slices(batches):
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for key, side, doc, text in zip(*columns):
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for key, side, node, d1, d2, text in zip(*columns):
                 if key != task:
                     yield found()
                     task, ids, sets, sides = key, [], [], []
-                if not ids or ids[-1] != doc:
-                    ids.append(doc)
+                if ids and ids[-1] == node:
+                    continue
+                hashes = shingles(text)
+                if digest(hashes) == (d1, d2):  # rows of the same id may have other texts
+                    ids.append(node)
                     sides.append(side)
-                    sets.append(shingles(text))
+                    sets.append(hashes)
         yield found()
 
     spark = docs.sparkSession
-    routed = _blocks(members, layout.growth).join(docs.filter(F.col("doc_id").isNotNull()), "doc_id")
-    key = F.to_json("task")
-    rows = routed.select(key.alias("task"), "side", "doc_id", "text").repartition(shuffle_partitions(spark), "task")
-    ordered = rows.sortWithinPartitions("task", "side", "doc_id")
+    chosen = classes.select("node", "d1", "d2", F.col("first").alias("doc_id"))
+    routed = _blocks(members, layout.growth).join(chosen, "node").join(docs, "doc_id")
+    rows = routed.select(F.to_json("task").alias("task"), "side", "node", "d1", "d2", "text")
+    ordered = rows.repartition(shuffle_partitions(spark), "task").sortWithinPartitions("task", "side", "node")
     return ordered.mapInArrow(compare, "a long, b long")
 
 
+def _numbered(filled: DataFrame) -> DataFrame:
+    """(node, n, d1, d2, first): the different sets, numbered; ``first`` is the smallest id that has one."""
+    least = filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
+    return stored(least.withColumn("node", F.monotonically_increasing_id()), "numbered")
+
+
+def _classes(filled: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The numbered sets with bucket counts and signatures, from one row of their first id.
+
+    Found by id and digest, so the rows of a large family of copies do not meet in one place.
+    """
+    own = numbered.select("node", "first", *[F.col(c).alias(f"{c}_") for c in ("n", "d1", "d2")])
+    same = [F.col(c) == F.col(f"{c}_") for c in ("n", "d1", "d2")]
+    found = filled.join(own, (F.col("doc_id") == F.col("first")) & same[0] & same[1] & same[2])
+    once = found.dropDuplicates(["doc_id", "n", "d1", "d2"])
+    return stored(once.select("node", "n", "d1", "d2", "first", "buckets", "sigs"), "sets")
+
+
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """(a, b): links between different sets that rows of one id have."""
+    least = rows.groupBy("doc_id").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+    return rows.join(least, "doc_id").filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+
+
 def linked_documents(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; ``least`` is the threshold as a fraction."""
     layout, docs = Layout(least), documents_of(df, id_col, text_col)
-    sized = stored(shingled(docs, words), "shingled")
+    sized = stored(shingled(docs, words, layout), "shingled")
     filled = sized.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    copies = filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
-    candidates = components(signature_edges(signed(docs, words, layout)))
-    # One document of each set stands for its copies.
-    members = stored(
-        copies.select(F.col("first").alias("node"), "n").join(candidates, "node").select(
-            F.col("node").alias("doc_id"), "component", "n"
-        ),
-        "candidates",
-    )
+    numbered = _numbered(filled)
+    classes = _classes(filled, numbered)
+    candidates = components(signature_edges(classes.select(F.explode("sigs").alias("sig"), "node")))
+    members = stored(classes.select("node", "n").join(candidates, "node").select("node", "component", "n"), "candidates")
     crowds = members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
     crowds = crowds.withColumn("large", (F.col("c") > BLOCK_SETS) | (F.col("s") > BLOCK_SHINGLES))
     grouped = members.join(crowds.select("component", "large"), "component")
-    small = grouped.filter(~F.col("large")).select("doc_id", "component", "n")
-    parted = stored(divided(grouped.filter("large").select("doc_id", "component", "n"), sized, layout), "divided")
-    links = verified_links(docs, small.unionByName(parted), words, layout)
-    same = filled.join(copies, ["n", "d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    labels = components(links.unionByName(same.filter(F.col("a") != F.col("b"))))
-    out = sized.select("doc_id", F.col("n").alias("n_shingles"))
-    return out.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-    )
+    small = grouped.filter(~F.col("large")).select("node", "component", "n")
+    parted = stored(divided(grouped.filter("large").select("node", "component", "n"), classes, layout), "divided")
+    links = verified_links(docs.filter(F.col("doc_id").isNotNull()), small.unionByName(parted), classes, words, layout)
+
+    same_set = ["n", "d1", "d2"]
+    rows = filled.select("doc_id", *same_set).join(numbered.select("node", *same_set), same_set)
+    labels = components(links.unionByName(_shared_ids(rows)))
+    # Copies take the answer of their set: no star of copies is ever walked.
+    known = numbered.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = known.groupBy("component").agg(F.min("first").alias("component_id"))
+    answers = stored(known.join(smallest, "component").select(*same_set, "component_id"), "set-answers")
+    out = sized.select("doc_id", *same_set).join(answers, same_set, "left")
+    found = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(found, "doc_id").alias("component_id"))
