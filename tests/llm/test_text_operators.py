@@ -109,6 +109,18 @@ def test_repeats(spark, corpus):
     assert repeats.digests(table(spark, [])).count() == 0
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = random.Random(31)
+    first = prose(rng, 150)
+    while True:  # another text whose sixteen-bit mark is the first's
+        second = prose(rng, 60) + f" {rng.random()}"
+        if repeats.mark_of(second.encode()) == repeats.mark_of(first.encode()):
+            break
+    rows = [(7, first), (7, second), (8, first[:300])] + [(None, prose(rng, 60)) for _ in range(300)] + [(None, first[100:400])]
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.digests(table(spark, rows)).collect())
+    assert got == sorted((i or -1, *d) for (i, _), d in zip(rows, brute.repeats([t for _, t in rows])))
+
+
 def test_repeats_of_long_texts_are_parsed_piecewise(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 300)
     rng = random.Random(2)
@@ -277,6 +289,16 @@ def test_language_of_known_unknown_and_wordless_texts(spark):
     assert language.identify_documents(docs.limit(0)).count() == 0
 
 
+def test_language_of_signs_that_are_no_letters_and_of_many_languages(spark):
+    assert language.words_of("½ ² Ⅷ 12") == [] and language.words_of("X² äÖ½b") == ["x", "äö", "b"]
+    rng = random.Random(32)
+    rows = [(i, " ".join(f"q{chr(97 + k % 26)}{chr(97 + k // 26)}{rng.choice('xyz')}" for _ in range(6)), f"l{k}") for k in range(230) for i in (4 * k, 4 * k + 1, 4 * k + 2)]
+    docs = spark.createDataFrame([*rows, (5000, "½ ²", "l1")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify_documents(docs).collect()}
+    assert (got[5000].lang_pred, got[5000].score) == ("und", 0.0)
+    assert np.mean([got[i].lang_pred == lang for i, _, lang in rows if not got[i].held_out]) > 0.9
+
+
 def test_toxicity_learns_words_and_handles_odd_rows(spark):
     rng = random.Random(12)
     rows, labels = [], []

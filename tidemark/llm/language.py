@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents_of, held_out, slices, stored
 
 SCHEMA = "doc_id long, lang_pred string, score double"
-#: Bounds of the model: words, n-grams of each order, languages.
+#: Bounds of the model: words, n-grams of each order, and the languages for which it keeps all of them.
 MAX_WORDS, MAX_GRAMS, MAX_LANGUAGES = 100_000, 30_000, 200
 #: Documents of each language that a model is fitted on.
 TRAIN_ROWS = 4000
@@ -39,6 +39,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 _MEMO = 200_000
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased; fractions, raised digits and the like are no letters."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
+
+
 class Model:
     """Per-language log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams."""
 
@@ -84,7 +92,7 @@ def _tallied(trained: DataFrame) -> DataFrame:
         seen: dict[tuple[int, str, str], int] = {}
         for batch in slices(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word in _WORD.findall(text.lower()):
+                for word in words_of(text):
                     seen[0, word, lang] = seen.get((0, word, lang), 0) + 1
             if len(seen) > _MEMO:
                 yield rows(spelled(seen))
@@ -98,25 +106,34 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     """At most about ``per_language`` rows of each language, chosen by a hash of the id, none held out."""
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = rows.select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+        (F.pmod(F.xxhash64(F.lit("train"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)).alias("draw"),
+    )
     if not counts:
-        return rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+        return rows.select("text", "lang")
+    if len(counts) > MAX_LANGUAGES:  # too many for the plan: the shares come by a join
+        shares = rows.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count("*")).alias("share"))
+        return rows.join(shares, "lang").filter("draw < share").select("text", "lang")
     share = F.create_map(*[F.lit(x) for g, n in counts.items() for x in (g, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64(F.lit("train"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    return rows.filter(draw < share[F.col(lang_col)]).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    return rows.filter(F.col("draw") < share[F.col("lang")]).select("text", "lang")
 
 
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_ROWS
 ) -> Model:
-    """Word and n-gram counts of the training rows; what is broadcast later is bounded by the three limits."""
+    """Word and n-gram counts of the training rows; what is broadcast later is bounded by the three limits.
+
+    Beyond ``MAX_LANGUAGES`` languages fewer words and n-grams are kept, so that the model stays as large.
+    """
     tallied = _tallied(training_rows(docs, id_col, text_col, lang_col, per_language))
     summed = tallied.groupBy("size", "item", "lang").agg(F.sum("n").alias("n"))
     by_lang = F.map_from_entries(F.collect_list(F.struct("lang", "n")))  # one entry a language
     items = stored(summed.groupBy("size", "item").agg(F.sum("n").alias("total"), by_lang.alias("by_lang")), "language-counts")
+    n_languages = items.filter("size = 1").select(F.explode(F.map_keys("by_lang"))).distinct().count()
+    kept_share = min(1.0, MAX_LANGUAGES / max(n_languages, 1))
     kept = {
-        size: items.filter(F.col("size") == size).orderBy(F.desc("total"), "item").limit(most).select("item", "by_lang").collect()
+        size: items.filter(F.col("size") == size).orderBy(F.desc("total"), "item").limit(math.ceil(most * kept_share)).select("item", "by_lang").collect()
         for size, most in {0: MAX_WORDS, **dict.fromkeys(ORDERS, MAX_GRAMS)}.items()
     }
     languages = sorted({g for row in kept[1] for g in row["by_lang"]})
@@ -142,7 +159,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for batch in slices(batches):
             langs, scores = [], []
             for text in batch.column(1).to_pylist():
-                words = _WORD.findall(text.lower())
+                words = words_of(text)
                 if not words or not fitted.languages:
                     langs.append(UNKNOWN)
                     scores.append(0.0)

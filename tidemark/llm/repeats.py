@@ -99,7 +99,7 @@ def unpack(place: int) -> tuple[int, int, int]:
 
 
 def mark_of(data: bytes) -> int:
-    """Tells apart rows that share an id but not a text."""
+    """Sixteen bits of the text beside the 64 of a row's key."""
     return zlib.crc32(data) & 0xFFFF
 
 
@@ -266,19 +266,20 @@ def _digest(data: bytes, places: Iterable[int]) -> dict:
 
 _DIGEST = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("runs", pa.list_(pa.int64()))]
 _DIGEST_DDL = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<long>"
-_STAGED = pa.schema([*_KEY, *_DIGEST, ("z", pa.binary()), ("repeated", pa.list_(pa.int64())), ("open", pa.list_(pa.int64()))])
-_STAGED_DDL = f"doc_id long, mark int, {_DIGEST_DDL}, z binary, repeated array<long>, open array<long>"
-_DONE = pa.schema([_KEY[0], *_DIGEST])
+_ID = ("id", pa.int64())
+_STAGED = pa.schema([*_KEY, _ID, *_DIGEST, ("z", pa.binary()), ("repeated", pa.list_(pa.int64())), ("open", pa.list_(pa.int64()))])
+_STAGED_DDL = f"doc_id long, mark int, id long, {_DIGEST_DDL}, z binary, repeated array<long>, open array<long>"
+_DONE = pa.schema([_ID, *_DIGEST])
 
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts travel compressed."""
+    """Of (key, data, id): texts travel compressed."""
     pack_text = zstandard.ZstdCompressor(level=3).compress
     for batch in slices(batches):
         texts = batch.column(1).to_pylist()
         marks = [mark_of(t) if len(t) >= LENGTH else 0 for t in texts]
-        columns = [batch.column(0), pa.array(marks, pa.int32()), pa.array([pack_text(t) for t in texts], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "z"])
+        columns = [batch.column(0), pa.array(marks, pa.int32()), pa.array([pack_text(t) for t in texts], pa.binary()), batch.column(2)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "z", "id"])
 
 
 def _stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +287,8 @@ def _stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unzip = zstandard.ZstdDecompressor().decompress
     for batch in slices(batches):
         rows = []
-        for doc, mark, z, repeated, open_ in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            row = {"doc_id": doc, "mark": mark}
+        for doc, mark, z, repeated, open_, id_ in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            row = {"doc_id": doc, "mark": mark, "id": id_}
             rows.append(row | ({"z": z, "repeated": repeated or [], "open": open_} if open_ else _digest(unzip(z), repeated or [])))
         yield pa.RecordBatch.from_pylist(rows, schema=_STAGED)
 
@@ -296,16 +297,18 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unzip = zstandard.ZstdDecompressor().decompress
     for batch in slices(batches):
         columns = (batch.column(i).to_pylist() for i in range(4))
-        rows = [{"doc_id": doc} | _digest(unzip(z), [*a, *(b or [])]) for doc, z, a, b in zip(*columns)]
+        rows = [{"id": id_} | _digest(unzip(z), [*a, *(b or [])]) for id_, z, a, b in zip(*columns)]
         yield pa.RecordBatch.from_pylist(rows, schema=_DONE)
 
 
 def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs (also as start, end, start, ...) and the hash of the rest."""
-    docs = documents_of(df, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("data"))
-    first = in_corpus_order(docs.mapInArrow(_phrase_rows, _ROWS), "phrases")
-    texts = docs.mapInArrow(_compress, "doc_id long, mark int, z binary")
-    marked = _joined(texts, _per_document(first), "left").select("doc_id", "mark", "z", "repeated", "open")
+    named = documents_of(df, id_col, text_col)
+    # Rows of one id, or without one, may have different texts: a row goes by a digest of both.
+    docs = named.select(F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("data"), F.col("doc_id").alias("id"))
+    first = in_corpus_order(docs.select("key", "data").mapInArrow(_phrase_rows, _ROWS), "phrases")
+    texts = docs.mapInArrow(_compress, "doc_id long, mark int, z binary, id long")
+    marked = _joined(texts, _per_document(first), "left").select("doc_id", "mark", "z", "repeated", "open", "id")
     staged = stored(marked.mapInArrow(_stage, _STAGED_DDL), "staged")
     going = staged.filter(F.col("z").isNotNull())
 
@@ -316,9 +319,9 @@ def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     later = _per_document(blocks.unionByName(strings).filter("repeated"))
     later = later.select("doc_id", "mark", F.col("repeated").alias("later"))
-    rest = _joined(going.select("doc_id", "mark", "z", "repeated"), later, "left").select("doc_id", "z", "repeated", "later")
-    ready = rest.mapInArrow(_finish, f"doc_id long, {_DIGEST_DDL}")
-    return staged.filter(F.col("z").isNull()).select(ready.columns).unionByName(ready)
+    rest = _joined(going.select("doc_id", "mark", "z", "repeated", "id"), later, "left").select("id", "z", "repeated", "later")
+    ready = rest.mapInArrow(_finish, f"id long, {_DIGEST_DDL}")
+    return staged.filter(F.col("z").isNull()).select(ready.columns).unionByName(ready).withColumnRenamed("id", "doc_id")
 
 
 def without_repeats(df: DataFrame, runs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
