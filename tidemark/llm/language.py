@@ -39,12 +39,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 _MEMO = 200_000
 
 
-def words_of(text: str) -> list[str]:
-    """Runs of letters, lower-cased; fractions, raised digits and the like are no letters."""
-    found = _WORD.findall(text.lower())
-    if all(map(str.isalpha, found)):
-        return found
-    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
+def runs_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased, in which fractions, raised digits and the like may stand too."""
+    return _WORD.findall(text.lower())
+
+
+def words_in(run: str) -> list[str]:
+    """The runs of letters alone."""
+    return [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
 
 
 class Model:
@@ -79,8 +81,11 @@ def _tallied(trained: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([*columns, pa.array(seen.values(), pa.int64())], names=["size", "item", "lang", "n"])
 
     def spelled(seen: dict[tuple[int, str, str], int]) -> dict[tuple[int, str, str], int]:
-        out = dict(seen)
-        for (_, word, lang), n in seen.items():
+        out: dict[tuple[int, str, str], int] = {}
+        for (_, run, lang), n in seen.items():
+            for word in words_in(run):
+                out[0, word, lang] = out.get((0, word, lang), 0) + n
+        for (_, word, lang), n in list(out.items()):
             marked = f"<{word}>"
             for size in ORDERS:
                 for at in range(len(marked) - size + 1):
@@ -92,7 +97,7 @@ def _tallied(trained: DataFrame) -> DataFrame:
         seen: dict[tuple[int, str, str], int] = {}
         for batch in slices(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word in words_of(text):
+                for word in runs_of(text):
                     seen[0, word, lang] = seen.get((0, word, lang), 0) + 1
             if len(seen) > _MEMO:
                 yield rows(spelled(seen))
@@ -156,17 +161,20 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, memo = shared.value, {}
+        silent = np.zeros(len(fitted.languages))
         for batch in slices(batches):
             langs, scores = [], []
             for text in batch.column(1).to_pylist():
-                words = words_of(text)
+                words = runs_of(text)
+                if not any(map(str.isalpha, words)):
+                    words = [w for run in words for w in words_in(run)]
                 if not words or not fitted.languages:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
                 for word in words:
                     if word not in memo:
-                        memo[word] = fitted.word(word)
+                        memo[word] = sum(map(fitted.word, words_in(word)), silent)
                 votes = np.array([memo[w] for w in words], dtype=np.float64).sum(axis=0)
                 best = int(votes.argmax())
                 langs.append(fitted.languages[best])
