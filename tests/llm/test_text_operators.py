@@ -72,6 +72,26 @@ def test_signatures_never_miss_a_pair_at_the_threshold():
             assert len(np.intersect1d(layout.signatures(left), layout.signatures(right)))
 
 
+def test_bucket_counts_bound_intersections_and_tell_large_sets_apart():
+    rng = np.random.default_rng(5)
+    for n in (100, 2000, 2100, 30000, 300000):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        copy = np.unique(np.concatenate([base[n // 10 :], rng.integers(0, 2**64, n // 12, dtype=np.uint64)]))
+        other = np.unique(np.concatenate([base[: n // 4], rng.integers(0, 2**64, n - n // 4, dtype=np.uint64)]))
+        sets = [base, copy, other]
+        counts = [jaccard_join.bucket_counts(s) for s in sets]
+        matrix = jaccard_join.folded(counts)
+        assert all(counts) and matrix.sum(axis=1).tolist() == [len(s) for s in sets]
+        for a in range(3):
+            for b in range(3):
+                assert np.minimum(matrix[a], matrix[b]).sum() >= len(np.intersect1d(sets[a], sets[b]))
+        sizes, known = np.array([len(s) for s in sets]), np.ones(3, dtype=bool)
+        pairs = jaccard_join.possible(matrix, sizes, known, np.zeros(3, dtype=int), (80, 100))
+        assert pairs[0, 1] and not pairs[0, 2]
+    empty = jaccard_join.folded([b"", jaccard_join.bucket_counts(base)])
+    assert not empty[0].any() and empty[1].sum() == len(base)
+
+
 def test_jaccard_of_an_id_with_several_texts(spark):
     rng = random.Random(14)
     a, b = prose(rng, 60), prose(rng, 80)

@@ -19,8 +19,9 @@ From signatures to links, linear in their number:
    spread over many tasks;
 2. components of these edges hold every pair that shares a signature;
 3. a component too large for one block is divided again: blocks of it are compared by the
-   counts of hashes in ``BUCKETS`` buckets, whose minima bound every intersection from above, and
-   pairs that cannot be similar stay apart;
+   counts of hashes in buckets, whose minima bound every intersection from above, and pairs that
+   cannot be similar stay apart. A set has ``BUCKETS`` buckets, or as many more as keep
+   ``IN_BUCKET`` hashes in each on average: fuller buckets tell large sets apart no more;
 4. each component's distinct sets are compared exactly, in blocks of bounded size: only pairs
    of blocks whose sizes allow a link meet, and a block pair yields a spanning forest of links;
 5. components of the links are the result, which each row takes from its set by digest.
@@ -48,8 +49,8 @@ WORDS, LEAST = 3, (90, 100)
 #: A block holds this many sets, or this many shingles, about.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 1 << 20
 RECUTS = 3
-#: Buckets of hashes, counted in a byte each, that bound intersections.
-BUCKETS = 256
+#: Fewest buckets of hashes, counted in a byte each, that bound intersections, and hashes in one on average, at most.
+BUCKETS, IN_BUCKET = 256, 8
 #: Bytes of a text whose words are hashed at a time.
 PIECE = 1 << 20
 _U = np.uint64
@@ -187,11 +188,26 @@ def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.nda
 
 
 def bucket_counts(hashes: np.ndarray) -> bytes:
-    """How many hashes each bucket has; empty if a byte cannot hold a count, and then nothing is ruled out."""
-    counts = np.bincount((hashes >> _U(17)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    """How many hashes each bucket has; empty if a byte cannot hold a count, and then nothing is ruled out.
+
+    The number of buckets is a power of two, so counts of many buckets fold into those of fewer.
+    """
+    buckets = BUCKETS
+    while buckets * IN_BUCKET < len(hashes):
+        buckets *= 2
+    counts = np.bincount((hashes >> _U(17)).astype(np.int64) % buckets, minlength=buckets)
     return counts.astype(np.uint8).tobytes() if len(hashes) and counts.max() < 256 else b""
 
 
+def folded(counts: list[bytes]) -> np.ndarray:
+    """Bucket counts of several sets as rows of one matrix, over as many buckets as the coarsest has."""
+    width = min((len(c) for c in counts if c), default=BUCKETS)
+    matrix = np.zeros((len(counts), width), dtype=np.uint16)
+    for row, data in zip(matrix, counts):
+        np.sum(np.frombuffer(data, dtype=np.uint8).reshape(-1, width), axis=0, dtype=np.uint16, out=row)
+    return matrix
+
+
 _SHINGLED = "doc_id long, n long, d1 long, d2 long, buckets binary, sigs array<long>"
 
 
@@ -334,8 +350,7 @@ def divided(members: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame
             if len(rows) > 1:
                 sides, ids, sizes, counts = zip(*rows)
                 known = np.array([len(c) > 0 for c in counts])
-                matrix = np.frombuffer(b"".join(c or bytes(BUCKETS) for c in counts), dtype=np.uint8).reshape(-1, BUCKETS)
-                pairs = possible(matrix, np.array(sizes, dtype=np.int64), known, np.array(sides), layout.least)
+                pairs = possible(folded(counts), np.array(sizes, dtype=np.int64), known, np.array(sides), layout.least)
                 edges = [(ids[x], ids[y]) for x, y in _forest(pairs)]
             return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
