@@ -186,10 +186,33 @@ def test_containment_is_estimated_for_unequal_texts(spark):
     whole = part + " " + prose(rng, 20000, 10**6)
     df = spark.createDataFrame([(part, whole)], "p string, w string")
     p, w = fingerprints.sketch(F.col("p")), fingerprints.sketch(F.col("w"))
-    got = df.select(fingerprints.containment(p, w), fingerprints.containment(w, p)).first()
+    got = df.select(fingerprints.containment(p, w, F.col("w")), fingerprints.containment(w, p, F.col("p"))).first()
     assert got[0] > 0.95 and got[1] < 0.1
 
 
+def test_short_texts_are_found_in_longer_ones(spark):
+    rng = random.Random(16)
+    rows = []
+    for k in range(40):
+        part = prose(rng, 5, 10**6)
+        rows += [(2 * k, part), (2 * k + 1, f"{prose(rng, 40, 10**6)} {part} {prose(rng, 40, 10**6)}")]
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(table(spark, rows)).collect()}
+    assert all(got[2 * k].near_next == 1.0 for k in range(40))
+    assert all(got[2 * k + 1].near_next == 0.0 for k in range(39))
+
+
+def test_merging_gives_the_sketch_of_the_union(spark):
+    rng = random.Random(17)
+    rows = [(prose(rng, rng.choice([0, 3, 5, 6, 9, 40]), 10**6), prose(rng, rng.choice([0, 5, 7, 60]), 10**6)) for _ in range(60)]
+    a, b = fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))
+    both = F.array_union(fingerprints.shingle_hashes(F.col("a")), fingerprints.shingle_hashes(F.col("b")))
+    df = spark.createDataFrame(rows, "a string, b string").select(fingerprints.merged(a, b).alias("m"), both.alias("u"))
+    below = -(1 << 63) + (1 << 64) // fingerprints.SCALE
+    for r in df.collect():
+        low = sorted(h for h in r.u if h < below)
+        assert r.m == (low or ([min(r.u)] if r.u else []))
+
+
 def test_packing_is_a_partition_with_right_ids(spark, corpus):
     from tokenizers import Tokenizer
 

@@ -8,7 +8,9 @@ thousand times longer. Sketches of parts merge by set union.
 * Words are runs of anything but space and U+0009..U+000D, lower-cased; a shingle is five
   consecutive words; a text of one to four words is one shingle.
 * A text whose shingles all lie above the threshold keeps its smallest hash, so that only a
-  text without words has an empty sketch.
+  text without words has an empty sketch. That hash is a stand-in, no part of anybody else's sketch:
+  it is looked up among all shingles of the other text, and merging drops it once a hash below the
+  threshold is there.
 * Null text counts as empty. Two empty sketches have likeness 1, an empty and a filled one 0.
 * Repeated rows and equal texts give equal fingerprints; extra columns are ignored.
 """
@@ -31,22 +33,39 @@ MAX_RANGES = 4096
 _LEAST = -(1 << 63)
 
 
-def sketch(text: Column, words: int = WORDS, scale: int = SCALE) -> Column:
-    """Sorted distinct shingle hashes (signed 64 bit) in the lowest 1/scale of the range."""
+def shingle_hashes(text: Column, words: int = WORDS) -> Column:
+    """Hashes of all shingles (signed 64 bit), in the order of the text; empty without words."""
     tokens = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    below = F.lit(_LEAST + (1 << 64) // scale)
 
     def shingles(h: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(h) - words, F.lit(0)))
         return F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(words)]))
 
-    def kept(hashes: Column) -> Column:
-        low = F.filter(hashes, lambda h: h < below)
-        return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).otherwise(F.array(F.array_min(hashes)))
+    return _bound(F.transform(tokens, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) > 0, shingles(h)).otherwise(_none()))
+
+
+def sketch(text: Column, words: int = WORDS, scale: int = SCALE) -> Column:
+    """Sorted distinct shingle hashes in the lowest 1/scale of the range, or the smallest hash alone."""
+    return F.coalesce(_bound(shingle_hashes(text, words), lambda h: _kept(h, scale)), _none())
+
+
+def _kept(hashes: Column, scale: int) -> Column:
+    low = F.filter(hashes, lambda h: h < _threshold(scale))
+    least = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(_none())
+    return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).otherwise(least)
+
 
-    word_hashes = F.transform(tokens, lambda w: F.xxhash64(w))
-    sketched = _bound(word_hashes, lambda h: F.when(F.size(h) > 0, _bound(shingles(h), kept)))
-    return F.coalesce(sketched, F.array().cast("array<bigint>"))
+def _threshold(scale: int) -> Column:
+    return F.lit(_LEAST + (1 << 64) // scale)
+
+
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
+
+
+def stands_in(hashes: Column, scale: int = SCALE) -> Column:
+    """Whether a sketch is but the smallest hash of a text that has none below the threshold."""
+    return F.coalesce(F.get(hashes, 0) >= _threshold(scale), F.lit(False))
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -54,9 +73,9 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def merged(left: Column, right: Column) -> Column:
+def merged(left: Column, right: Column, scale: int = SCALE) -> Column:
     """The sketch of both texts' shingles together."""
-    return F.array_sort(F.array_union(left, right))
+    return _bound(F.array_union(left, right), lambda h: _kept(h, scale))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -64,19 +83,27 @@ def fingerprint(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def containment(part: Column, whole: Column) -> Column:
-    """Estimated share of the shingles of ``part`` that ``whole`` has too."""
+def containment(part: Column, whole: Column, whole_text: Column, words: int = WORDS, scale: int = SCALE) -> Column:
+    """Estimated share of the shingles of ``part`` that ``whole`` has too; its text is read if ``part`` is a stand-in."""
     shared = F.size(F.array_intersect(part, whole)).cast("double")
+    there = F.array_contains(shingle_hashes(whole_text, words), F.get(part, 0)).cast("double")
     return (
         F.when((F.size(part) == 0) & (F.size(whole) == 0), F.lit(1.0))
         .when((F.size(part) == 0) | (F.size(whole) == 0), F.lit(0.0))
+        .when(stands_in(part, scale), there)
         .otherwise(shared / F.size(part))
     )
 
 
-def likeness(left: Column, right: Column) -> Column:
-    """Containment of the smaller sketch in the larger."""
-    return F.when(F.size(left) <= F.size(right), containment(left, right)).otherwise(containment(right, left))
+def likeness(left: Column, right: Column, left_text: Column, right_text: Column) -> Column:
+    """Containment of the smaller sketch in the larger; a stand-in counts as smaller, and two of them are looked up both ways."""
+    forth, back = containment(left, right, right_text), containment(right, left, left_text)
+    one, other = stands_in(left), stands_in(right)
+    return (
+        F.when(one & other, F.greatest(forth, back))
+        .when(one | (~other & (F.size(left) <= F.size(right))), forth)
+        .otherwise(back)
+    )
 
 
 def _range_of(key: Column, starts: list[int]) -> Column:
@@ -134,6 +161,6 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text"), F.col("edited")).alias("near_edited"),
+        likeness(F.col("sketch"), F.col("next_sketch"), F.col("text"), F.col("next_text")).alias("near_next"),
     )
