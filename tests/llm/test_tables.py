@@ -53,6 +53,29 @@ def test_recall_of_a_grid_of_many_cells(spark, monkeypatch):
     assert (found <= true).all() and found.sum() >= 0.9 * true.sum()
 
 
+@pytest.mark.parametrize("cell", [512, 2])
+def test_each_length_of_vectors_is_searched(spark, monkeypatch, cell):
+    monkeypatch.setattr(near_vectors, "CELL", cell)
+    rng = np.random.default_rng(4)
+    rows = []
+    for width, n in ((16, 12), (8, 9), (3, 5), (1, 4)):
+        for center in rng.normal(size=(n, width)):
+            rows += [[float(x) for x in center + rng.normal(size=width) * s] for s in (0, 0, 0.02)]
+    vectors = {i: np.array(v) / np.linalg.norm(v) for i, v in enumerate(rows)}
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    union, links = brute.Union(vectors), dict.fromkeys(vectors, 0)
+    for a, x in vectors.items():
+        for b, y in vectors.items():
+            if a < b and len(x) == len(y) and x @ y >= 0.9:
+                union.join(a, b)
+                links[a], links[b] = links[a] + 1, links[b] + 1
+    got = {r.vec_id: r for r in near_vectors.linked_vectors(df, recall=1.0).collect()}
+    assert all(got[i].n_links <= links[i] for i in links) and sum(r.n_links for r in got.values()) >= 0.9 * sum(links.values())
+    if cell == 512:
+        assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (links[i], union.find(i)) for i in links}
+    assert min(sum(got[i].n_links for i in links if len(rows[i]) == w) for w in (16, 8, 3, 1)) > 0
+
+
 def test_multi_sequence_visits_in_order_of_distance():
     rng = np.random.default_rng(3)
     a, b = rng.random(7), rng.random(5)

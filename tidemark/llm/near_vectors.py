@@ -11,8 +11,10 @@ the threshold, and is compared with all vectors that live there, exactly.
 * Equal vectors are one entry with a multiplicity. A cell's entries are dealt into parts of
   ``PART`` entries; the visitors stream past each part, so no task holds a crowded cell, and what
   leaves a task is a count for each vector and a spanning forest, never all pairs.
-* Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
-  components link with nothing, and neither does a null id. Rows that repeat an id count as one
+* Each length of vectors has its own index; vectors of different lengths never link. All lengths
+  whose grid has one cell are searched in one job.
+* Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and
+  neither does a null id. Rows that repeat an id count as one
   vector (its smallest in array order). Extra columns are ignored.
 """
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +95,14 @@ def _centroids(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centroids
 
 
+def centroids_for(rows: int) -> int:
+    """Centroids of a half's codebook in an index of so many vectors."""
+    return int(np.clip(round((rows / CELL) ** 0.5), 1, MAX_CENTROIDS))
+
+
 def fit(sample: np.ndarray, rows: int, threshold: float = THRESHOLD, recall: float = RECALL) -> Index:
     """Codebooks for an index of ``rows`` vectors; visits calibrated on pairs at just the threshold."""
-    k = int(np.clip(round((rows / CELL) ** 0.5), 1, MAX_CENTROIDS))
+    k = centroids_for(rows)
     half = max(1, sample.shape[1] // 2)
     left, right = _centroids(sample[:, :half], k, 1), _centroids(sample[:, half:], k, 2)
     whole = Index(left, right, len(left) * len(right))
@@ -134,9 +142,27 @@ def _usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def entries(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
     """(vector, rep, copies) of each different usable vector, ``rep`` its smallest id; and (id, vector) of all."""
     usable = stored(_usable(df, id_col, vector_col), "vectors")
-    lengths = usable.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    same = usable.filter(F.size("vector") == (lengths["n"] if lengths else 0))
-    return stored(same.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "entries"), same
+    return stored(usable.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "entries"), usable
+
+
+_KINDS = [pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+
+def _task_rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = [f.split()[0] for f in _TASK.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _KINDS)], names=names)
+
+
+def _one_cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of lengths whose grid is one cell, named after the length: each lives there and visits it."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            out = []
+            for id_, n, vector in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
+                cell, data = len(vector), _unit(np.array([vector]))[0].tobytes()
+                out.append((cell, 0, False, id_, n, cell, np.array([cell], dtype=np.int32).tobytes(), data))
+                out.append((cell, 0, True, id_, n, cell, b"", data))
+            yield _task_rows(out)
 
 
 def _search_rows(index: Index, parts: dict[int, int]):
@@ -156,10 +182,7 @@ def _search_rows(index: Index, parts: dict[int, int]):
                     out.append((home, own, False, id_, n, home, np.sort(reach).tobytes(), data))
                     for cell in reach.tolist():
                         out += [(cell, part, True, id_, n, home, b"", data) for part in range(parts.get(cell, 0))]
-                columns = zip(*out)
-                kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                names = [f.split()[0] for f in _TASK.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+                yield _task_rows(out)
 
     return deal
 
@@ -232,18 +255,16 @@ def _roots(q: np.ndarray, n_homes: int, x: np.ndarray, visitor_ids: np.ndarray,
         label = new
 
 
-def linked_vectors(
-    df: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
-    spark = df.sparkSession
-    distinct, same = entries(df, id_col, vector_col)
-    rows = distinct.count()
-    every = df.select(F.col(id_col).cast("long").alias("vec_id"))
-    if not rows:
-        none = every.withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id")})
-        return none.withColumn("kept", F.col("vec_id").isNotNull())
-    width = len(distinct.select("vector").first()[0])
+def _compared(dealt: DataFrame, threshold: float) -> DataFrame:
+    """(id, links, root) from entries dealt to cells."""
+    # Explicitly many partitions: cells are few and differ in size.
+    spread = dealt.repartition(4 * shuffle_partitions(dealt.sparkSession), "cell", "part")
+    cells = spread.sortWithinPartitions("cell", "part", "visits", "id")
+    return stored(cells.mapInArrow(_compare(threshold), "id long, links long, root long"), "vector-links")
+
+
+def _search(distinct: DataFrame, width: int, rows: int, threshold: float, recall: float) -> DataFrame:
+    """(id, links, root): the entries of one length searched through their index."""
     most = int(min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // (8 * width))))
     drawn = distinct.orderBy(F.xxhash64("rep"), "rep").limit(most).select("vector").toArrow()["vector"]
     sample = drawn.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), width)
@@ -257,11 +278,27 @@ def linked_vectors(
 
     crowds = distinct.select("vector").mapInArrow(locate, "cell int").groupBy("cell").count().collect()  # <= cells
     parts = {r["cell"]: -(-r["count"] // PART) for r in crowds}
-    dealt = distinct.select("rep", "copies", "vector").mapInArrow(_search_rows(index, parts), _TASK)
-    # Explicitly many partitions: cells are few and differ in size.
-    cells = dealt.repartition(4 * shuffle_partitions(spark), "cell", "part").sortWithinPartitions("cell", "part", "visits", "id")
-    found = stored(cells.mapInArrow(_compare(threshold), "id long, links long, root long"), "vector-links")
-    copies = same.join(distinct.select("vector", "rep", "copies"), "vector").select("id", "rep", "copies")
+    return _compared(distinct.select("rep", "copies", "vector").mapInArrow(_search_rows(index, parts), _TASK), threshold)
+
+
+def linked_vectors(
+    df: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row."""
+    distinct, usable = entries(df, id_col, vector_col)
+    every = df.select(F.col(id_col).cast("long").alias("vec_id"))
+    lengths = distinct.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").collect()  # a row a length
+    if not lengths:
+        none = every.withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id")})
+        return none.withColumn("kept", F.col("vec_id").isNotNull())
+    # The most frequent length always has an index; of the others those whose grid has several cells.
+    indexed = [r for k, r in enumerate(lengths) if k == 0 or centroids_for(r["count"]) > 1]
+    searches = [_search(distinct.filter(F.size("vector") == r["n"]), r["n"], r["count"], threshold, recall) for r in indexed]
+    if len(indexed) < len(lengths):
+        rest = distinct.filter(~F.size("vector").isin([r["n"] for r in indexed]))
+        searches.append(_compared(rest.select("rep", "copies", "vector").mapInArrow(_one_cell_rows, _TASK), threshold))
+    found = reduce(DataFrame.unionByName, searches)
+    copies = usable.join(distinct.select("vector", "rep", "copies"), "vector").select("id", "rep", "copies")
     direct = found.groupBy("id").agg(F.sum("links").alias("links"))
     edges = found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(
         copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))
