@@ -20,10 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, and a lost executor costs nothing."""
+    return stored_at(df, label)[0]
+
+
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the table's folder, for a table to be removed once others hold what it was read for."""
     spark = df.sparkSession
     path = new_shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def documents_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

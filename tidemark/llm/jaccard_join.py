@@ -13,11 +13,12 @@ filled one with every similar set. If both have more, both sign again with the d
 
 From signatures to links, linear in their number:
 
-1. one pass over the texts stores size, digest, bucket counts and signatures. Equal sets become one
-   node: from here on copies do not take part. Signatures are range-sorted by (signature, node):
-   neighbours within a signature are joined by an edge, and a signature with a third of all rows is
-   spread over many tasks;
-2. components of these edges hold every pair that shares a signature;
+1. one pass over the texts stores size, digest, bucket counts and signatures. Signatures go from
+   there straight into the order of (signature, half of the digest, salt): neighbours within a
+   signature are joined by an edge between their digests, and a signature or a set with a third of
+   all rows is spread over many tasks. Then the signatures, the bulk of that table, are removed;
+2. components of these edges hold every pair that shares a signature. Equal sets become one node:
+   from here on copies do not take part;
 3. a component too large for one block is divided again: blocks of it are compared by the
    counts of hashes in buckets, whose minima bound every intersection from above, and pairs that
    cannot be similar stay apart. A set has ``BUCKETS`` buckets, or as many more as keep
@@ -42,8 +43,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents_of, shuffle_partitions, slices, stored
+from tidemark.llm.common import documents_of, shuffle_partitions, slices, stored, stored_at
 from tidemark.llm.components import components
+from tidemark.sinks import folders
 
 WORDS, LEAST = 3, (90, 100)
 #: A block holds this many sets, or this many shingles, about.
@@ -53,6 +55,8 @@ RECUTS = 3
 BUCKETS, IN_BUCKET = 256, 8
 #: Bytes of a text whose words are hashed at a time.
 PIECE = 1 << 20
+#: Places that rows of one set and signature are dealt to.
+SALTS = 256
 _U = np.uint64
 
 
@@ -267,10 +271,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signature_edges(rows: DataFrame) -> DataFrame:
-    """(a, b): edges that connect all sets of each signature."""
+    """(a, b): edges that connect all sets of each signature, from (sig, node, salt). The result is stored."""
     spark = rows.sparkSession
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "node").sortWithinPartitions("sig", "node")
-    found = stored(ordered.mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "node", "salt").sortWithinPartitions("sig", "node")
+    found = stored(ordered.select("sig", "node").mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
     # Two rows a part: a signature that goes on in the next part is joined across the border.
     ends = found.filter(~F.col("edge")).orderBy("part", "b").select("a", "sig").collect()
     across = [(y["a"], x["a"]) for x, y in zip(ends[1::2], ends[2::2]) if x["sig"] == y["sig"] and x["a"] != y["a"]]
@@ -453,7 +457,7 @@ def _numbered(filled: DataFrame) -> DataFrame:
 
 
 def _classes(filled: DataFrame, numbered: DataFrame) -> DataFrame:
-    """The numbered sets with bucket counts and signatures, from one row of their first id.
+    """The numbered sets with bucket counts, from one row of their first id.
 
     Found by id and digest, so the rows of a large family of copies do not meet in one place.
     """
@@ -461,7 +465,7 @@ def _classes(filled: DataFrame, numbered: DataFrame) -> DataFrame:
     same = [F.col(c) == F.col(f"{c}_") for c in ("n", "d1", "d2")]
     found = filled.join(own, (F.col("doc_id") == F.col("first")) & same[0] & same[1] & same[2])
     once = found.dropDuplicates(["doc_id", "n", "d1", "d2"])
-    return stored(once.select("node", "n", "d1", "d2", "first", "buckets", "sigs"), "sets")
+    return stored(once.select("node", "n", "d1", "d2", "first", "buckets"), "sets")
 
 
 def _shared_ids(rows: DataFrame) -> DataFrame:
@@ -475,12 +479,18 @@ def linked_documents(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; ``least`` is the threshold as a fraction."""
     layout, docs = Layout(least), documents_of(df, id_col, text_col)
-    sized = stored(shingled(docs, words, layout), "shingled")
-    filled = sized.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    with_words = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    signed, folder = stored_at(shingled(docs, words, layout), "shingled")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("short").alias("salt")
+    # Sets that share half a digest by chance would be candidates of each other's partners: harmless.
+    edges = signature_edges(signed.filter(with_words).select(F.explode("sigs").alias("sig"), F.col("d1").alias("node"), salt))
+    sized = stored(signed.drop("sigs"), "sized")
+    folders.remove(docs.sparkSession, folder)
+    filled = sized.filter(with_words)
     numbered = _numbered(filled)
     classes = _classes(filled, numbered)
-    candidates = components(signature_edges(classes.select(F.explode("sigs").alias("sig"), "node")))
-    members = stored(classes.select("node", "n").join(candidates, "node").select("node", "component", "n"), "candidates")
+    candidates = components(edges).withColumnRenamed("node", "d1")
+    members = stored(numbered.select("node", "n", "d1").join(candidates, "d1").select("node", "component", "n"), "candidates")
     crowds = members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
     crowds = crowds.withColumn("large", (F.col("c") > BLOCK_SETS) | (F.col("s") > BLOCK_SHINGLES))
     grouped = members.join(crowds.select("component", "large"), "component")
