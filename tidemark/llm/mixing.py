@@ -2,10 +2,14 @@
 
 Token counts are raked to three marginals at once: source, language and topic. A document of a
 cell (source, language, topic) gets the weight of its three factors; its ratio is the raked over
-the actual share of its cell. It is in the sample as often as the whole part of ratio times a
-budget says, and once more with the remainder as probability, so that also cells which raking lifts
-above all their rows get their share. A uniform number from a hash of the id decides, so the
-sample does not depend on the run. Probability and selection are those of being there at all.
+the actual share of its cell. There are two samples, both of which meet the targets:
+
+* ``mix_selected`` takes a document once at most. Its probability is ratio times a budget; where the
+  largest ratio would lift that above one, the budget is one over that ratio, so no cell is clipped.
+* ``mix_copies`` takes a document as often as the whole part of ratio times the budget asked for says, and
+  once more with the remainder as probability, so the sample is as large as asked for.
+
+A uniform number from a hash of the id decides, so the samples do not depend on the run.
 
 * The factors of languages and topics are a few numbers on the driver. Sources may be millions:
   theirs stay in Spark, each computed from its own few cells, and a round of fitting is one
@@ -14,7 +18,8 @@ sample does not depend on the run. Probability and selection are those of being
   small members (``TEMPERATURES``).
 * Null language, source or topic form members of their own, the empty name. Null and empty texts
   have no tokens: their weight is their cell's, and a cell without any tokens has probability 0.
-  A null id draws like the text ``null``. Repeated rows share one fate. Extra columns stay.
+  A null id draws like the text ``null``. Repeated rows share one fate. Very long texts are only counted.
+  Extra columns stay; those with the names of the new columns give way to them in ``mixed``, and stay in ``sampled``.
 """
 
 from __future__ import annotations
@@ -114,39 +119,45 @@ def _given(member: Column, targets: dict[str, float]) -> Column:
     return F.coalesce(_map(targets)[member], F.lit(0.0))
 
 
+_ADDED = ["mix_tokens", "mix_topic", "mix_ratio", "mix_probability", "mix_selected", "mix_copies"]
+
+
+def _weighed(docs: DataFrame, targets: dict[str, dict[str, float]] | None, budget: float, rounds: int, topic: Column | None) -> DataFrame:
+    """Each input row whole in ``row``, so that no name of its columns can clash, with the columns of ``_ADDED``."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    text = F.coalesce("text", F.lit(""))
+    label = F.coalesce(topic, F.lit("")) if topic is not None else topic_of(text, token_count(text))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("string").alias("id"), name("source").alias("source"),
+        name("lang").alias("lang"), label.alias("topic"), token_count(text).alias("mix_tokens"),
+    )
+    cells = stored(rows.groupBy("source", "lang", "topic").agg(F.sum("mix_tokens").alias("m")), "cells")
+    ratios = rake(cells, targets, rounds)
+    largest = ratios.agg(F.max("ratio")).first()[0] or 0.0
+    chance = min(budget, 1.0 / largest) if largest else budget
+    # As many rows as cells; Spark broadcasts them by their measured size or splits a hot cell.
+    joined = rows.join(ratios, ["source", "lang", "topic"], "left")
+    ratio = F.coalesce("ratio", F.lit(0.0))
+    probability = F.round(F.least(F.lit(1.0), ratio * chance), 6)
+    often = F.round(ratio * budget, 6)
+    again = F.when(draw(F.col("id")) < often - F.floor(often), 1).otherwise(0)
+    return joined.select(
+        "row", "mix_tokens", F.col("topic").alias("mix_topic"), ratio.alias("mix_ratio"), probability.alias("mix_probability"),
+        (draw(F.col("id")) < probability).alias("mix_selected"), (F.floor(often) + again).alias("mix_copies"),
+    )
+
+
 def mixed(
     docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
     topic: Column | None = None,
 ) -> DataFrame:
     """The rows with ``mix_tokens``, ``mix_topic``, ``mix_ratio``, ``mix_probability``, ``mix_selected`` and ``mix_copies``."""
-    tokens = token_count(F.col("text"))
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    text = F.coalesce("text", F.lit(""))
-    label = F.coalesce(topic, F.lit("")) if topic is not None else topic_of(text, F.col("mix_tokens"))
-    rows = docs.withColumn("mix_tokens", tokens).withColumn("mix_topic", label)
-    keys = [name("source").alias("source"), name("lang").alias("lang"), F.col("mix_topic").alias("topic")]
-    cells = stored(rows.groupBy(*keys).agg(F.sum("mix_tokens").alias("m")), "cells")
-    ratios = rake(cells, targets, rounds)
-    weights = ratios.select(
-        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("ratio").alias("mix_ratio")
-    )
-    on = (name("source") == F.col("_s")) & (name("lang") == F.col("_l")) & (F.col("mix_topic") == F.col("_t"))
-    # As many rows as cells; Spark broadcasts them by their measured size or splits a hot cell.
-    joined = rows.join(weights, on, "left").drop("_s", "_l", "_t")
-    ratio = F.coalesce("mix_ratio", F.lit(0.0))
-    probability = F.round(F.least(F.lit(1.0), ratio * budget), 6)
-    often = F.round(F.col("mix_ratio") * budget, 6)
-    again = F.when(draw(F.col("doc_id")) < often - F.floor(often), 1).otherwise(0)
-    return (
-        joined.withColumn("mix_ratio", ratio)
-        .withColumn("mix_probability", probability)
-        .withColumn("mix_selected", draw(F.col("doc_id")) < F.col("mix_probability"))
-        .withColumn("mix_copies", F.floor(often) + again)
-    )
+    own = [c for c in docs.columns if c.lower() not in _ADDED]
+    return _weighed(docs, targets, budget, rounds, topic).select(*[F.col("row")[c].alias(c) for c in own], *_ADDED)
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """Every document with its tokens, topic, and probability and outcome of being in the sample at least once."""
+    """Every document with its tokens, topic, and calibrated probability and outcome of being in the sample."""
     return mixed(docs.select("doc_id", "text", "lang", "source")).select(
         "doc_id",
         F.col("mix_tokens").alias("tokens"),
@@ -157,6 +168,7 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def sampled(docs: DataFrame) -> DataFrame:
-    """The sample, with the columns of the input; a row stands there as often as it was drawn."""
-    drawn = mixed(docs).filter("mix_copies > 0")
-    return drawn.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*docs.columns)
+    """The sample by copies, with the columns of the input; a row stands there as often as it was drawn."""
+    drawn = _weighed(docs, None, BUDGET, ROUNDS, None).filter("mix_copies > 0")
+    copies = drawn.select("row", F.explode(F.sequence(F.lit(1), "mix_copies")))
+    return copies.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -110,10 +110,10 @@ ratios AS (
     JOIN l{last} l USING (lang) JOIN t{last} t USING (topic)
 ),
 given AS (
-    SELECT doc_id, tokens, topic, round(least(1.0, coalesce(ratio, 0) * {mixing.BUDGET}), 6) AS probability,
+    SELECT doc_id, tokens, topic, round(least(1.0, coalesce(ratio, 0) * budget), 6) AS probability,
            CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':{mixing.SEED}'), 1, 13)) AS BIGINT)
                / pow(2, 52) AS u
-    FROM rows LEFT JOIN ratios USING (source, lang, topic)
+    FROM rows LEFT JOIN ratios USING (source, lang, topic), (SELECT least({mixing.BUDGET}, 1 / max(ratio)) AS budget FROM ratios)
 )
 SELECT doc_id, tokens, topic, probability, u < probability AS selected FROM given"""
 
