@@ -1,9 +1,11 @@
 """Vectors, mixing, licences, the pipeline, and the queries' SQL."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
@@ -104,11 +106,42 @@ def test_sample_has_the_target_shares_where_raking_lifts_cells(spark):
     rows = mixing.mixed(docs, targets).collect()
     drawn = sum(r.mix_copies for r in rows)
     assert drawn == pytest.approx(len(rows), rel=0.05) and max(r.mix_ratio for r in rows) > 2
-    assert all(r.mix_selected == (r.mix_copies > 0) and abs(r.mix_copies - r.mix_ratio) < 1 for r in rows)
-    for name, column in (("source", "source"), ("lang", "lang")):
-        for member, share in targets[name].items():
-            held = sum(r.mix_copies for r in rows if r[column] == member)
-            assert held / drawn == pytest.approx(share, abs=0.02)
+    assert all(abs(r.mix_copies - r.mix_ratio) < 1 for r in rows)
+    chances, chosen = sum(r.mix_probability for r in rows), sum(r.mix_selected for r in rows)
+    assert max(r.mix_probability for r in rows) == pytest.approx(1, abs=1e-6) and chosen > 300
+    for column, wanted in targets.items():
+        for member, share in wanted.items():
+            own = [r for r in rows if r[column] == member]
+            assert sum(r.mix_copies for r in own) / drawn == pytest.approx(share, abs=0.02)
+            assert sum(r.mix_probability for r in own) / chances == pytest.approx(share, abs=0.01)
+            assert sum(r.mix_selected for r in own) / chosen == pytest.approx(share, abs=0.05)
+
+
+def test_probabilities_of_documents_meet_the_targets(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = mixing.mixed(docs).collect()
+    total, weighed = sum(r.mix_tokens for r in rows), sum(r.mix_tokens * r.mix_probability for r in rows)
+    for column, name in (("source", "source"), ("lang", "lang"), ("mix_topic", "topic")):
+        held, drawn = Counter(), Counter()
+        for r in rows:
+            held[r[column] or ""] += r.mix_tokens / total
+            drawn[r[column] or ""] += r.mix_tokens * r.mix_probability / weighed
+        want = mixing._targets(held, mixing.TEMPERATURES[name], None)
+        assert all(drawn[m] == pytest.approx(share, abs=0.01) for m, share in want.items())
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame(
+        [(i, "word " * 9, "en", "s", 7, "x", i, "r", "t", 0.5) for i in range(40)] + [(0, "word " * 9, "en", "s", 7, "x", 0, "r", "t", 0.5)],
+        "doc_id long, text string, lang string, source string, mix_tokens int, _s string, id long, row string, topic string, ratio double",
+    )
+    out = mixing.mixed(docs)
+    assert out.columns == [c for c in docs.columns if c != "mix_tokens"] + mixing._ADDED
+    assert {(r.mix_tokens, r.row, r.ratio, round(r.mix_ratio, 6)) for r in out.collect()} == {(9, "r", 0.5, 1.0)}
+    kept = mixing.sampled(docs)
+    assert kept.columns == docs.columns and sorted(kept.collect()) == sorted(docs.collect())
+    long = spark.createDataFrame([(1, "word " * 400_000, "en", "s")], "doc_id long, text string, lang string, source string")
+    assert mixing.mixed(long).first()["mix_tokens"] == 400_000
 
 
 def test_the_sample_holds_a_row_as_often_as_it_was_drawn(spark):
@@ -166,8 +199,10 @@ def test_query_matches_sql(spark, name):
 def test_pipeline_stages_keep_what_they_should(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
-    kept = stages["toxicity"](spark, docs, SF_DIR)
-    assert kept.columns == docs.columns and 0.8 * docs.count() < kept.count() <= docs.count()
+    named = docs.withColumn("score", F.lit("own")).withColumn("_score", F.lit("own"))
+    kept = stages["toxicity"](spark, named, SF_DIR)
+    assert kept.columns == named.columns and kept.select("score", "_score").distinct().collect() == [("own", "own")]
+    assert 0.8 * docs.count() < kept.count() <= docs.count()
     single = stages["near_copies"](spark, docs, SF_DIR)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     expected = {i for i, (_, c) in brute.linked(rows, 5, (80, 100)).items() if i == c}
@@ -178,6 +213,20 @@ def test_pipeline_stages_keep_what_they_should(spark):
     assert stages["packing"](spark, docs, SF_DIR).select("doc_id").distinct().count() == len(rows)
 
 
+def test_near_copies_of_repeated_ids_nulls_and_empty_texts(spark):
+    long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (1, long, "a"), (2, long + " end", "b"), (2, long + " end", "b"), (5, other, "c"), (5, other, "c"), (5, other, "b"),
+        (7, None, "d"), (8, "", "d"), (9, "", "d"), (None, long, "n"), (None, long, "n"), (None, None, "n"),
+    ]
+    docs = spark.createDataFrame([(i, t, s, 1, "r") for i, t, s in rows], "doc_id long, text string, source string, id int, row string")
+    out = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    expected = [(None, None, "n"), (None, long, "n"), (1, long, "a"), (5, other, "b"), (7, None, "d"), (8, "", "d"), (9, "", "d")]
+    assert sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=str) == sorted(expected, key=str)
+    assert dict(corpus_pipeline.STAGES)["near_copies"](spark, docs.limit(0), SF_DIR).isEmpty()
+
+
 def test_entry_registers_every_operator():
     names = spark_entry.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names

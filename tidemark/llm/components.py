@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
-
-MAX_STEPS = 60
+from tidemark.llm.common import stored_at
+from tidemark.sinks import folders
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,21 +14,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step hangs the neighbours of a node under its smallest neighbour. Minima are combined
     before the shuffle and joined back, so a node with a third of all edges is split like any
-    skewed join. Steps hand over through tables in the shared folder.
+    skewed join. Steps hand over through tables in the shared folder, each removed once the next is
+    there, until no edge moves: a number of steps that grows with the logarithm of the edges.
     """
     lower, higher = F.least("a", "b"), F.greatest("a", "b")
     clean = edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    current = stored(clean.select(higher.alias("a"), lower.alias("b")).distinct(), "edges")
+    current, folder = stored_at(clean.select(higher.alias("a"), lower.alias("b")).distinct(), "edges")
     before = None
-    for _ in range(MAX_STEPS):
-        current = stored(_small_star(_large_star(current)), "edges")
+    while True:
+        following, next_folder = stored_at(_small_star(_large_star(current)), "edges")
+        folders.remove(edges.sparkSession, folder)
+        current, folder = following, next_folder
         # Stars only: stable once no edge moves.
         after = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if after == before:
             roots = current.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
             return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
         before = after
-    raise RuntimeError(f"components did not settle in {MAX_STEPS} steps")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -270,15 +270,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([first[1], last[1]], [0, 1], [first[0], last[0]], False)
 
 
-def signature_edges(rows: DataFrame) -> DataFrame:
-    """(a, b): edges that connect all sets of each signature, from (sig, node, salt). The result is stored."""
+def signature_edges(rows: DataFrame) -> tuple[DataFrame, str]:
+    """(a, b): edges that connect all sets of each signature, from (sig, node, salt); and the folder they are stored in."""
     spark = rows.sparkSession
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "node", "salt").sortWithinPartitions("sig", "node")
-    found = stored(ordered.select("sig", "node").mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
+    found, folder = stored_at(ordered.select("sig", "node").mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
     # Two rows a part: a signature that goes on in the next part is joined across the border.
     ends = found.filter(~F.col("edge")).orderBy("part", "b").select("a", "sig").collect()
     across = [(y["a"], x["a"]) for x, y in zip(ends[1::2], ends[2::2]) if x["sig"] == y["sig"] and x["a"] != y["a"]]
-    return found.filter("edge").select("a", "b").unionByName(spark.createDataFrame(across, "a long, b long"))
+    return found.filter("edge").select("a", "b").unionByName(spark.createDataFrame(across, "a long, b long")), folder
 
 
 def similar(inter: np.ndarray, left: np.ndarray, right: np.ndarray, least: tuple[int, int]) -> np.ndarray:
@@ -483,13 +483,14 @@ def linked_documents(
     signed, folder = stored_at(shingled(docs, words, layout), "shingled")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("short").alias("salt")
     # Sets that share half a digest by chance would be candidates of each other's partners: harmless.
-    edges = signature_edges(signed.filter(with_words).select(F.explode("sigs").alias("sig"), F.col("d1").alias("node"), salt))
+    edges, edge_folder = signature_edges(signed.filter(with_words).select(F.explode("sigs").alias("sig"), F.col("d1").alias("node"), salt))
     sized = stored(signed.drop("sigs"), "sized")
     folders.remove(docs.sparkSession, folder)
     filled = sized.filter(with_words)
     numbered = _numbered(filled)
     classes = _classes(filled, numbered)
     candidates = components(edges).withColumnRenamed("node", "d1")
+    folders.remove(docs.sparkSession, edge_folder)
     members = stored(numbered.select("node", "n", "d1").join(candidates, "d1").select("node", "component", "n"), "candidates")
     crowds = members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
     crowds = crowds.withColumn("large", (F.col("c") > BLOCK_SETS) | (F.col("s") > BLOCK_SHINGLES))
