@@ -9,25 +9,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, mixing, packing, personal_data, toxicity
 from tidemark.llm.common import stored, table
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Each row whole in ``row``, so that a stage's own columns clash with none of its names."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def _unwrapped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls toxic go; it learns from the labelled ones that are not held out."""
+    """Documents that the classifier calls toxic go; it learns from the labelled ones that are not held out.
+
+    Null and empty texts have a score like any other.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, model, F.col("text"), "_score")
-    return scored.filter(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.with_score(_whole(docs), model, F.col("row.text"), "score")
+    return _unwrapped(scored.filter(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of five-word shingles connect, the one with the smallest id stays."""
+    """Of documents that links of five-word shingles connect, the one with the smallest id stays.
+
+    Rows of one id are one document: they stay or go together. Of those that repeat its id and text, null
+    ids included, one stays. Rows without an id link with nothing.
+    """
     linked = jaccard_join.linked_documents(docs, words=5, least=(80, 100))
-    kept = linked.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    return docs.join(kept.select(F.col("doc_id").alias("_id")).distinct(), docs["doc_id"].eqNullSafe(F.col("_id"))).select(*docs.columns)
+    ids = linked.groupBy("doc_id").agg(F.min("component_id").alias("least"), (F.count("*") > 1).alias("many"))
+    kept = stored(ids.filter("doc_id IS NULL OR doc_id = least").select(F.col("doc_id").alias("id"), "many"), "kept-ids")
+    own = lambda many: _whole(docs).join(
+        kept.filter(F.col("many") == many), F.col("row.doc_id").eqNullSafe(F.col("id"))
+    )
+    # Only repeated ids are looked at twice; a hot one is spread by its texts, and ranked in each map task first.
+    ranked = Window.partitionBy("id", "row.text").orderBy(F.to_json("row"))
+    single = own(True).withColumn("at", F.row_number().over(ranked)).filter("at = 1")
+    return _unwrapped(own(False).select("row").unionAll(single.select("row")), docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
