@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import silver, validation
+from tidemark.operators import serving, silver, validation
 from tidemark.plans.compaction import Segments
 from tidemark.plans.lakehouse import Lakehouse
+from tidemark.plans.prepared import lakehouse
 from tidemark.session import configure, new_shared_path
 from tidemark.sources import catalog, raw, samples
 from tidemark.streaming import alarms
@@ -259,9 +260,25 @@ def empty_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day by event type on the clustered layout, whose order already holds a day's types together."""
+    events = lakehouse(spark, sf_dir, "clustered").clustered()
+    return events.groupBy("event_date", "event_type").agg(
+        F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"), serving.exact_sum(F.col("gross_amount")).alias("revenue")
+    )
+
+
+def clustered_date_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day with most events by event type, found by the statistics of files and pages."""
+    events = lakehouse(spark, sf_dir, "clustered").clustered()
+    day = serving.pivot_date(events).first()["event_date"]  # a literal reaches the scan
+    return serving.date_filtered(events, day)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         compacted_bronze, compacted_quarantine, silver_incremental, catalog_incremental, stream_text_replay, buffered_ingest,
         reject_rate_alarm_stream, freshness_alarm_stream, accepted_times, amounts_lost, empty_steps,
+        clustered_days, clustered_date_filtered,
     )
     return {f.__name__: f for f in found}

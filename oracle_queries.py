@@ -482,6 +482,18 @@ def build(as_of: str) -> dict[str, str]:
                 SELECT event_type, count(*) AS n, round(avg(unit_price), 6) AS avg_price
                 FROM silver GROUP BY event_type)""",
         ),
+        "clustered_days": _sql(
+            _TO_SILVER,
+            """SELECT event_date, event_type, count(*) AS n, count(DISTINCT event_id) AS ids,
+                CAST(sum(CAST(gross_amount AS DECIMAL(28, 2))) AS DOUBLE) AS revenue
+            FROM silver GROUP BY event_date, event_type""",
+        ),
+        "clustered_date_filtered": _sql(
+            _TO_SILVER,
+            """SELECT event_type, count(*) AS n, CAST(sum(CAST(gross_amount AS DECIMAL(28, 2))) AS DOUBLE) AS revenue FROM silver
+            WHERE event_date = (SELECT event_date FROM silver GROUP BY event_date ORDER BY count(*) DESC, event_date LIMIT 1)
+            GROUP BY event_type""",
+        ),
         "layout_roundtrip": _sql(
             [*_TO_SILVER, _LAYOUTS],
             "SELECT layout, (SELECT count(*) FROM silver) AS rows_written, CAST(0 AS BIGINT) AS rows_missing, "

@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+import uuid
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -187,6 +188,44 @@ def test_hot_day_is_split_by_the_rebalance(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
 
 
+def bytes_read(df):
+    """Input bytes of a query's stages."""
+    sc = df.sparkSession.sparkContext
+    group = uuid.uuid4().hex
+    sc.setJobGroup(group, group)
+    rows = df.collect()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for job in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(job).stageIds}
+    return rows, sum(sc._jsc.sc().statusStore().lastStageAttempt(s).inputBytes() for s in stages)
+
+
+def test_clustered_layout_reads_less_for_a_day_and_an_id(spark, tmp_path):
+    events = spark.range(300_000).selectExpr(
+        "sha2(cast(id AS string), 256) AS event_id", "concat('t', id % 5) AS event_type", "sha2(cast(-id AS string), 256) AS payload",
+        "if(id % 3 = 0, '2026-07-31', date_format(date_add(DATE '2026-07-01', cast(id * 7919 % 30 AS int)), 'yyyy-MM-dd')) AS event_date",
+    )
+    writers.write_table(events, str(tmp_path / "flat"))
+    writers.write_clustered(events, str(tmp_path / "clustered"))
+    # Vectored reads run in threads whose bytes the stage does not count.
+    plain = spark.read.option("parquet.hadoop.vectored.io.enabled", "false")
+    flat, clustered = (plain.parquet(str(tmp_path / name)) for name in ("flat", "clustered"))
+    assert clustered.exceptAll(flat).isEmpty() and flat.exceptAll(clustered).isEmpty()
+    seen = {}
+    for name, condition in (("day", "event_date = '2026-07-09'"), ("id", f"event_id = '{'5' * 64}'")):
+        (rows, all_bytes), (same, few_bytes) = (bytes_read(t.where(condition).select("event_id", "payload")) for t in (flat, clustered))
+        assert sorted(rows) == sorted(same)
+        seen[name] = (all_bytes, few_bytes)
+    assert all(few * 3 < every for every, few in seen.values()), seen
+
+
+def test_clustered_layout_holds_silver(lake, raw):
+    assert lake.ingest(raw("junk"), "b0") and not lake.build_clustered() and lake.clustered().isEmpty()
+    lake.ingest(raw(*[event(event_id=f"{i:08d}") for i in range(50)]), "b1")
+    lake.build_silver()
+    assert lake.build_clustered()
+    assert lake.clustered().exceptAll(lake.silver()).isEmpty() and lake.clustered().count() == 50
+
+
 def land(path, name, payloads):
     path.mkdir(exist_ok=True)
     (path / name).write_text("\n".join(payloads) + "\n", encoding="utf-8")

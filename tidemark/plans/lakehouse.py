@@ -240,6 +240,14 @@ class Lakehouse:
         writers.write_by_date(silver, self.layout_path("parquet_part"))
         return True
 
+    def build_clustered(self) -> bool:
+        """The stored silver rows once more, flat and clustered: for days and ids without a folder a day."""
+        silver = self.silver()
+        if silver.isEmpty():
+            return False
+        writers.write_clustered(silver, self.layout_path("parquet_clustered"))
+        return True
+
     def declare(self, database: str) -> None:
         catalog.declare_tables(self.spark, self.root, database)
         catalog.refresh(self.spark, database)
@@ -276,6 +284,9 @@ class Lakehouse:
             self.spark, self.gold_path("quarantine_summary"), schemas.QUARANTINE_SUMMARY
         )
 
+    def clustered(self) -> DataFrame:
+        return tables.silver_or_empty(self.spark, self.layout_path("parquet_clustered"))
+
     def layouts(self) -> dict[str, DataFrame]:
         return {
             "raw_json": tables.read_raw_json_layout(self.spark, self.layout_path("raw_json")),

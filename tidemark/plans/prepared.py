@@ -15,6 +15,7 @@ _STEPS_UPTO = {
     "silver": ("ingest", "silver"),
     "gold": ("ingest", "silver", "gold"),
     "layouts": ("ingest", "silver", "layouts"),
+    "clustered": ("ingest", "silver", "clustered"),
 }
 _lakes: dict[tuple[str, str], tuple[str, set[str]]] = {}
 _order_lines: dict[tuple[str, str], str] = {}
@@ -33,6 +34,7 @@ def lakehouse(spark: SparkSession, sf_dir: str, upto: str) -> Lakehouse:
         "silver": lake.build_silver,
         "gold": lake.build_gold,
         "layouts": lake.build_layouts,
+        "clustered": lake.build_clustered,
     }
     for step in _STEPS_UPTO[upto]:
         if step not in done:
