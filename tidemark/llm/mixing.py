@@ -125,12 +125,13 @@ _ADDED = ["mix_tokens", "mix_topic", "mix_ratio", "mix_probability", "mix_select
 def _weighed(docs: DataFrame, targets: dict[str, dict[str, float]] | None, budget: float, rounds: int, topic: Column | None) -> DataFrame:
     """Each input row whole in ``row``, so that no name of its columns can clash, with the columns of ``_ADDED``."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    text = F.coalesce("text", F.lit(""))
-    label = F.coalesce(topic, F.lit("")) if topic is not None else topic_of(text, token_count(text))
+    given = [F.coalesce(topic, F.lit("")).alias("topic")] if topic is not None else []
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("string").alias("id"), name("source").alias("source"),
-        name("lang").alias("lang"), label.alias("topic"), token_count(text).alias("mix_tokens"),
+        name("lang").alias("lang"), token_count(F.col("text")).alias("mix_tokens"), *given,
     )
+    if topic is None:  # from the count as a column: spelled out here, words would be counted for each mention
+        rows = rows.withColumn("topic", topic_of(F.coalesce("row.text", F.lit("")), F.col("mix_tokens")))
     cells = stored(rows.groupBy("source", "lang", "topic").agg(F.sum("mix_tokens").alias("m")), "cells")
     ratios = rake(cells, targets, rounds)
     largest = ratios.agg(F.max("ratio")).first()[0] or 0.0
