@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.test_validation import event
@@ -10,7 +12,7 @@ from tidemark.operators import monitoring, silver, validation
 from tidemark.plans.lakehouse import Lakehouse
 from tidemark.sources import raw as raw_source
 from tidemark.streaming import alarms
-from tidemark.streaming.ingest import start_buffered_ingest
+from tidemark.streaming.ingest import _packed, start_buffered_ingest
 
 START = dt.datetime(2026, 7, 31, 12, 0, 0)
 
@@ -106,3 +108,62 @@ def test_batches_stay_below_the_bytes_given(spark, tmp_path):
     assert sum(sizes) == lake.bronze().count() == 70
     assert len(sizes) >= 4 and max(sizes) <= 20
     assert (contract.BUFFER_BYTES, contract.BUFFER_SECONDS) == (5 * 2**20, 60)
+
+
+def landed_files(folder, count, rows=10):
+    folder.mkdir()
+    for k in range(count):
+        good = [event(event_id=f"{k:04d}{i:04d}") for i in range(rows - 1)]
+        (folder / f"{k}.txt").write_text("\n".join([*good, "junk"]) + "\n")
+    return (folder / "0.txt").stat().st_size
+
+
+def buffered(spark, tmp_path, lake, max_bytes, **more):
+    started = start_buffered_ingest(
+        spark, str(tmp_path / "landing"), lake, str(tmp_path / "offsets"), max_bytes=max_bytes, trigger={"availableNow": True}, **more
+    )
+    started.awaitTermination()
+
+
+def test_a_backlog_is_stored_as_many_bounded_batches_in_few_triggers(spark, tmp_path):
+    size = landed_files(tmp_path / "landing", 7)
+    lake, sizes = Lakehouse(spark, str(tmp_path / "lake")), {}
+    buffered(spark, tmp_path, lake, int(2.5 * size), on_batch=lambda label, c: sizes.update({label: c["received"]}))
+    assert sorted(sizes.values()) == [10, 20, 20, 20]
+    assert [p.name for p in (tmp_path / "offsets/commits").iterdir() if p.name.isdigit()] == ["0"]
+    segments = lake.segments()
+    assert segments.open_batches() == sorted(sizes)
+    assert all(segments.counters_of(label)["received"] == n for label, n in sizes.items())
+    assert (lake.bronze().count(), lake.quarantine().count()) == (63, 7)
+    assert lake.update_silver()["rows_out"] == 63
+
+
+def test_a_group_that_failed_between_its_sinks_is_stored_once(spark, tmp_path, monkeypatch):
+    size = landed_files(tmp_path / "landing", 5)
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+
+    def gone(*_):
+        raise OSError("drill")
+
+    with monkeypatch.context() as drill:
+        drill.setattr("tidemark.sinks.writers.write_bronze_batches", gone)
+        with pytest.raises(StreamingQueryException):
+            buffered(spark, tmp_path, lake, size)
+    assert lake.segments().open_batches() == [] and lake.quarantine().count() == 5
+    # Batches that were judged keep their labels, whatever the bound is now.
+    buffered(spark, tmp_path, lake, 10 * size)
+    labels = lake.segments().open_batches()
+    assert len(labels) == 5 and (lake.bronze().count(), lake.quarantine().count()) == (45, 5)
+
+    group = labels[0].rpartition(".")[0]
+    assert lake.compact() == 5
+    lake.vacuum()
+    assert not list((tmp_path / "lake/_batches").iterdir())
+    again = lake.ingest_group(spark.createDataFrame([], "value string, arrived_at timestamp, batch string"), group)
+    assert sorted(again) == labels and {c["valid"] for c in again.values()} == {9}
+    assert lake.segments().counters_of(labels[3])["quarantined"] == 1
+    assert (lake.bronze().count(), lake.quarantine().count()) == (45, 5)
+
+
+def test_files_are_packed_up_to_the_bound():
+    assert _packed({"b": 3, "a": 3, "c": 9, "d": 1, "e": 0}, 6) == {"a": 0, "b": 0, "c": 1, "d": 2, "e": 2}

@@ -35,9 +35,12 @@ def stream_raw(
     max_bytes_per_trigger: int | None = None,
     stamped: bool = False,
     heartbeats: bool = False,
+    files: bool = False,
 ) -> DataFrame:
     """The same as a stream. A batch takes so many files, or files of so many bytes, one at least.
 
+    With ``files``, ``_file`` and ``_file_bytes`` tell where a line comes from.
+
     ``current_timestamp()`` is the time the micro-batch was planned. It is stored with the
     batch's offsets, so a replayed batch sees the same time and lands in the same place.
     """
@@ -46,10 +49,14 @@ def stream_raw(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return _arrived(reader.text(path), now, stamped, heartbeats)
+    lines = reader.text(path)
+    if not files:
+        return _arrived(lines, now, stamped, heartbeats)
+    at, size = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_file_bytes")
+    return _arrived(lines.select("value", at, size), now, stamped, heartbeats, "_file", "_file_bytes")
 
 
-def _arrived(lines: DataFrame, now: Column | None, stamped: bool, heartbeats: bool) -> DataFrame:
+def _arrived(lines: DataFrame, now: Column | None, stamped: bool, heartbeats: bool, *extra: str) -> DataFrame:
     now = F.current_timestamp() if now is None else now
     if not stamped:
         return lines.withColumn("arrived_at", now)
@@ -57,11 +64,14 @@ def _arrived(lines: DataFrame, now: Column | None, stamped: bool, heartbeats: bo
     micros = head.try_cast("bigint")
     alone = head == F.col("value")
     payload = F.when(micros.isNull(), F.col("value")).when(~alone, F.expr("substring(value, instr(value, '\t') + 1)"))
-    rows = lines.select(payload.alias("value"), F.coalesce(F.timestamp_micros(micros), now).alias("arrived_at"))
+    rows = lines.select(payload.alias("value"), F.coalesce(F.timestamp_micros(micros), now).alias("arrived_at"), *extra)
     return rows if heartbeats else rows.where("value IS NOT NULL")
 
 
 def stamped_lines(raw: DataFrame) -> DataFrame:
     """``value, arrived_at`` as stamped lines; a null payload as a heartbeat."""
-    stamp = F.unix_micros("arrived_at").cast("string")
-    return raw.select(F.concat_ws(_TAB, stamp, "value").alias("value"))
+    return raw.select(stamped_line().alias("value"))
+
+
+def stamped_line() -> Column:
+    return F.concat_ws(_TAB, F.unix_micros("arrived_at").cast("string"), "value")
