@@ -24,6 +24,8 @@ ALARM_DELAY_DAYS, HEARTBEAT_DAYS = 15, 30
 #: Bytes a buffered batch may have in the query, and lines a landed file has at most.
 BUFFER_BYTES, FILE_LINES = 1 << 20, 1000
 BATCHES = 3
+#: Files in which a part of an alarm's payloads lands at most, and lines a part has at least for each.
+MOST_FILES, LEAST_LINES = 64, 4096
 
 _lakes: dict[tuple[str, str, str], Lakehouse] = {}
 
@@ -185,14 +187,22 @@ def _alarm(spark: SparkSession, sf_dir: str, alarm: Callable[[DataFrame, str], D
     first, last = payloads.agg(F.min("arrived_at"), F.max("arrived_at")).first()
     span = (last - first) / 6
     part = F.least(F.floor((F.unix_micros("arrived_at") - F.unix_micros(F.lit(first))) / (span.total_seconds() * 1e6)), F.lit(5))
-    dealt = payloads.withColumn("part", part)
+    # All parts are made in one pass over the payloads; a part then lands in as many files as cores can write.
+    staged = new_shared_path(spark, f"{label}-staged")
+    dealt = payloads.select(raw.stamped_line().alias("value"), part.alias("part")).where("part IS NOT NULL")
+    dealt.write.partitionBy("part").text(staged)
+    lines = spark.read.schema("value string, part int").option("basePath", staged).option("lineSep", "\n").text(staged)
+    fewest = lines.groupBy("part").count().agg(F.min("count")).first()[0]
+    # Every part has so many lines that each of its files gets some, so a trigger takes one whole part.
+    files = max(1, min(2 * spark.sparkContext.defaultParallelism, MOST_FILES, fewest // LEAST_LINES))
 
     def land(*parts: int) -> None:
         for k in parts:
-            raw.stamped_lines(dealt.where(F.col("part") == k)).coalesce(1).write.mode("append").text(landing)
+            own = lines.where(F.col("part") == k).select("value")
+            (own.repartition(files) if files > 1 else own.coalesce(1)).write.mode("append").text(landing)
 
     def run() -> None:
-        stream = raw.stream_raw(spark, landing, max_files_per_trigger=1, stamped=True, heartbeats=True)
+        stream = raw.stream_raw(spark, landing, max_files_per_trigger=files, stamped=True, heartbeats=True)
         answers = alarm(stream, f"{ALARM_DELAY_DAYS} days").writeStream.outputMode("append").format("parquet")
         _finished(answers.option("path", out).option("checkpointLocation", offsets).trigger(availableNow=True).start())
 
