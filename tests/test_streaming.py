@@ -6,11 +6,13 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+import lake_queries
 from tests.test_validation import event
 from tidemark import contract
 from tidemark.operators import monitoring, silver, validation
 from tidemark.plans.lakehouse import Lakehouse
 from tidemark.sources import raw as raw_source
+from tidemark.sources import samples
 from tidemark.streaming import alarms
 from tidemark.streaming.ingest import _packed, start_buffered_ingest
 
@@ -167,3 +169,30 @@ def test_a_group_that_failed_between_its_sinks_is_stored_once(spark, tmp_path, m
 
 def test_files_are_packed_up_to_the_bound():
     assert _packed({"b": 3, "a": 3, "c": 9, "d": 1, "e": 0}, 6) == {"a": 0, "b": 0, "c": 1, "d": 2, "e": 2}
+
+
+def test_payloads_of_a_small_file_are_made_on_all_cores(spark, tmp_path):
+    spark.range(100).selectExpr(
+        "id AS event_id", "timestamp_ntz '2026-07-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1.5D AS value", "'{\"k\": 1}' AS props"
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    payloads = samples.events_as_payloads(spark, str(tmp_path))
+    assert payloads.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert payloads.where("value IS NOT NULL").count() == 102  # two have a second copy
+
+
+@pytest.mark.parametrize("events", [60, 240])
+def test_parts_land_in_several_files_and_give_the_alarm_of_single_ones(spark, tmp_path, monkeypatch, events):
+    spark.range(events).selectExpr(
+        "id AS event_id", f"timestamp_ntz '2026-07-01 00:00:00' + make_dt_interval(0, 0, 0, id * 2592000 / {events}) AS ts",
+        "id AS user_id", "'purchase' AS event_type", "1.5D AS value", "'{\"k\": 1}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    taken = []
+    stream_raw = lake_queries.raw.stream_raw
+    monkeypatch.setattr(
+        lake_queries.raw, "stream_raw", lambda *a, max_files_per_trigger, **k: taken.append(max_files_per_trigger) or stream_raw(*a, max_files_per_trigger=max_files_per_trigger, **k)
+    )
+    single = sorted(lake_queries.freshness_alarm_stream(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(lake_queries, "LEAST_LINES", 20)
+    several = sorted(lake_queries.freshness_alarm_stream(spark, str(tmp_path)).collect())
+    assert several == single and len(single) > 500
+    assert taken[0] == 1 and (taken[-1] > 1) == (events == 240)
