@@ -230,3 +230,26 @@ def test_near_copies_of_repeated_ids_nulls_and_empty_texts(spark):
 def test_entry_registers_every_operator():
     names = spark_entry.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+
+
+def test_pages_without_a_cue_are_not_cut_for_cues(spark):
+    """Only pages whose source has a cue's letters are cut, and those cut by tags or in capitals stay found."""
+    pages = [
+        (1, "http://a/1", "<p>LICENSED UNDER CC BY 4.0.</p>"),
+        (2, "http://a/2", "<p>Released under the MIT Li<b>cen</b>se.</p>"),
+        (3, "http://a/3", "<p>nothing</p>"),
+        (4, "http://a/4", None),
+        (5, "http://a/5", "<script>license</script><p>Subject to the terms of the Mozilla Public Licenſe, v. 2.0.</p>"),
+    ]
+    filler = [(k, f"http://f{k}/x", f"<p>filler words number {k} of a page</p>") for k in range(10, 60)]
+    df = spark.createDataFrame(pages + filler, "page_id long, url string, html string")
+    files = df.select(
+        F.col("page_id").alias("file_id"), licences.url_path(F.col("url")).alias("path"),
+        licences.plain_text(F.col("html")).alias("text"), licences.joined_text(F.col("html")).alias("joined"), "html",
+    )
+    kept = files.filter(licences._may_be_cued(F.col("html"))).select("file_id").collect()
+    assert sorted(r.file_id for r in kept) == [1, 5]
+    got = {r.file_id: r.own_licence for r in licences.own_licences(files, "joined", "html").collect()}
+    assert (got[1], got[2], got[3], got[4]) == ("CC-BY-4.0", "MIT", None, None)
+    whole = {r.file_id: r.own_licence for r in licences.own_licences(files.drop("html"), "joined").collect()}
+    assert got == whole

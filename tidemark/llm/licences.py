@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +106,25 @@ def _weights(frequencies: dict[str, int], total: int) -> tuple[dict[str, float],
     return {w: weigh(frequencies.get(w, 0)) for t in TEMPLATES for w in words_of(t[1])}, weigh(1)
 
 
-def own_licences(files: DataFrame, joined: str = "text") -> DataFrame:
+def _worded_passages(files: DataFrame) -> DataFrame:
+    """(file_id, at, words) of every passage that has a word."""
+    cut = files.select("file_id", F.posexplode(passages(F.coalesce("text", F.lit("")))).alias("at", "passage"))
+    return cut.select("file_id", "at", passage_words(F.col("passage")).alias("words")).filter(F.size("words") > 0)
+
+
+def _may_be_cued(source: Column) -> Column:
+    """Whether the letters of a cue word stand anywhere; few files have them, and only those are cut for cues."""
+    shortest = [c for c in CUES if not any(o != c and o in c for o in CUES)]
+    return reduce(Column.__or__, [F.contains(F.lower(source), F.lit(c)) for c in shortest])
+
+
+def own_licences(files: DataFrame, joined: str = "text", source: str = "text") -> DataFrame:
     """(file_id, path, licence, score): the best template of each file's passages, null below the threshold.
 
-    Windows are taken from the column ``joined``.
+    Windows are taken from the column ``joined``. The column ``source`` holds every word of ``text``
+    unbroken, as the page does from which the text was taken.
     """
-    words = files.select("file_id", F.posexplode(passages(F.coalesce("text", F.lit("")))).alias("at", "passage"))
-    words = words.select("file_id", "at", passage_words(F.col("passage")).alias("words")).filter(F.size("words") > 0)
+    words = _worded_passages(files)
     vocabulary = sorted({w for _, t in TEMPLATES for w in words_of(t)})
     known = F.array(*map(F.lit, vocabulary))
     # One pass over all passages: their number, and in how many each template word occurs.
@@ -120,7 +133,7 @@ def own_licences(files: DataFrame, joined: str = "text") -> DataFrame:
     frequencies = {r["word"]: r["count"] for r in counted}
     idf, other = _weights(frequencies, frequencies.pop("", 0))
 
-    cued = words.filter(F.arrays_overlap("words", F.array(*map(F.lit, CUES))))
+    cued = _worded_passages(files.filter(_may_be_cued(F.col(source)))).filter(F.arrays_overlap("words", F.array(*map(F.lit, CUES))))
     told = CUES + NAMES
     hinted = files.filter(F.col(joined).rlike(rf"(?i)(?<![a-z0-9])({'|'.join(told)})(?![a-z0-9])"))
     wide = hinted.select("file_id", F.posexplode(windows(F.col(joined))).alias("at", "passage"))
@@ -158,9 +171,9 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(bare, r"[?#].*$", "")
 
 
-def scan(files: DataFrame, joined: str = "text") -> DataFrame:
+def scan(files: DataFrame, joined: str = "text", source: str = "text") -> DataFrame:
     """(file_id, own_licence, own_score, licence, origin, directory) of every file (file_id, path, text)."""
-    own = stored(own_licences(files, joined), "own-licences")
+    own = stored(own_licences(files, joined, source), "own-licences")
     above = directories(F.col("path"))
     name = F.element_at(F.split("path", "/"), -1)
     # Index pages (nothing after the last slash) and licence files speak for their directory.
@@ -193,5 +206,6 @@ def scan_pages(pages: DataFrame) -> DataFrame:
         url_path(F.col("url")).alias("path"),
         plain_text(F.col("html")).alias("text"),
         joined_text(F.col("html")).alias("joined"),
+        "html",
     )
-    return scan(files, "joined").withColumnRenamed("file_id", "page_id")
+    return scan(files, "joined", "html").withColumnRenamed("file_id", "page_id")
