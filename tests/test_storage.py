@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from tests.test_validation import CASES, ORDER, event
 from tidemark import schemas
-from tidemark.operators import monitoring, serving, validation
+from tidemark.operators import monitoring, serving, silver, validation
+from tidemark.plans import prepared
 from tidemark.plans.lakehouse import Lakehouse
-from tidemark.sinks import writers
+from tidemark.sinks import folders, writers
 from tidemark.sources import raw as raw_source
-from tidemark.sources import tables
+from tidemark.sources import samples, tables
 from tidemark.sources.catalog import TABLES
 from tidemark.streaming.ingest import reject_rate_stream, start_ingest
 
@@ -308,3 +309,23 @@ def test_missing_tables_are_empty_but_other_errors_surface(spark, lake, tmp_path
     (tmp_path / "lake/open/bronze/batch=x/part.json.gz").write_bytes(b"not gzip")
     with pytest.raises(Exception):
         lake.bronze().count()
+
+
+def test_order_lines_are_stored_before_silver_reads_them(spark, tmp_path, monkeypatch):
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey, timestamp_ntz '2026-07-01 00:00:00' AS o_orderdate FROM range(20)").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    spark.sql(
+        "SELECT id % 20 AS l_orderkey, id % 7 AS l_partkey, cast(id % 2 AS int) AS l_linenumber, 2D AS l_quantity, 1.5D AS l_extendedprice, "
+        "timestamp_ntz '2026-07-01 00:00:00' + make_interval(0, 0, 0, cast(id % 3 - 1 AS int)) AS l_shipdate FROM range(60)"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    written = []
+    write_table = prepared.writers.write_table
+    monkeypatch.setattr(prepared.writers, "write_table", lambda df, path: written.append((path, df.inputFiles())) or write_table(df, path))
+    got = prepared.order_line_events(spark, str(tmp_path))
+    judged = validation.judge(samples.order_lines_as_payloads(spark, str(tmp_path)))
+    expected = silver.silver(validation.valid_events(judged))
+    assert sorted(got.collect()) == sorted(expected.select(got.columns).collect()) and 0 < got.count() < 60
+    (bronze_path, _), (_, read) = written
+    assert read and all(bronze_path.rsplit("/", 1)[-1] in file for file in read)
+    assert not folders.exists(spark, bronze_path)
