@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+from types import SimpleNamespace
+from unittest.mock import patch
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +124,102 @@ def test_jaccard_of_null_ids_and_empty_tables(spark):
     assert jaccard_join.linked_documents(table(spark, [])).count() == 0
 
 
+def test_jaccard_of_common_signatures(spark, corpus, monkeypatch):
+    """Few sets are a crowd here: parts are spared, crowds compared in blocks, as families and signature by signature."""
+    rng = random.Random(21)
+    passages = [prose(rng, 40) for _ in range(3)]
+    rows = list(corpus)
+    for k in range(40):
+        rows.append((3000 + k, " ".join([prose(rng, 60 + k % 5), *rng.sample(passages, 2), prose(rng, 20)])))
+    family = prose(rng, 150)
+    rows += [(4000 + k, edited(rng, family, rng.choice([2, 6, 30]))) for k in range(30)]
+    for crowd, block in ((1, 2000), (2, 7), (5, 2000)):
+        monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+        got = jaccard_join.linked_documents(table(spark, rows), words=5, least=(80, 100)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.linked(rows, 5, (80, 100))
+
+
+def test_jaccard_compares_no_chain_of_chance_candidates(spark, monkeypatch):
+    """Different texts that share passages are one candidate component, and yet no blocks of it are compared."""
+    rng = random.Random(22)
+    passages = [prose(rng, 60) for _ in range(4)]
+    rows = [(k, " ".join([prose(rng, 120), *rng.sample(passages, 2)])) for k in range(160)]
+    rows += [(1000 + k, f"{t} more") for k, t in rows[:5]]
+    compared, blocks = [], jaccard_join._blocks
+
+    def counted(members, growth):
+        compared.append(members.count())
+        return blocks(members, growth)
+
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 20)
+    monkeypatch.setattr(jaccard_join, "_blocks", counted)
+    got = jaccard_join.linked_documents(table(spark, rows), words=5, least=(80, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.linked(rows, 5, (80, 100))
+    assert 10 <= sum(compared) <= 30
+
+
+def test_similar_sets_share_a_signature_that_neither_spares():
+    rng = np.random.default_rng(2)
+    for least in ((90, 100), (80, 100)):
+        layout = jaccard_join.Layout(least)
+        for n in [1, 5, 10, 20, 47, 190, 600, 2000]:
+            spared = 0
+            for _ in range(20):
+                left = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+                right = np.sort(rng.permutation(left)[int(n * (1 - least[0] / least[1]) + 1e-9) :])
+                used = []
+                # Any order of all signatures is right; the worst one for the pair spares those it shares.
+                common = set(np.intersect1d(layout.signatures(left), layout.signatures(right)).tolist())
+                for side in (left, right):
+                    sigs, left_out = layout.signed(side)
+                    kept = set()
+                    for group in range(1 << jaccard_join.GROUP_BITS):
+                        own = [s for s in sigs.tolist() if s % (1 << jaccard_join.GROUP_BITS) == group]
+                        spare = left_out >> jaccard_join.SPARE_BITS * group & (1 << jaccard_join.SPARE_BITS) - 1
+                        assert spare < max(len(own), 1)
+                        kept |= set(sorted(own, key=lambda s: (s not in common, s))[spare:])
+                        spared += spare
+                    used.append(kept)
+                assert used[0] & used[1]
+            assert spared or n < 100
+
+
+@pytest.mark.parametrize("cut", [1, 2, 3, 5, 50])
+def test_members_of_signatures_wherever_batches_end(cut):
+    rng = np.random.default_rng(3)
+    sig = np.sort(np.concatenate([np.repeat(rng.integers(-50, 50, 12), rng.integers(1, 9, 12)), rng.integers(100, 10**6, 20)]))
+    node = rng.integers(0, 6, len(sig))
+    node = node[np.lexsort((node, sig))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + cut]) for x in (sig, node)], names=["sig", "node"]) for i in range(0, len(sig), cut)]
+    with patch.object(jaccard_join.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 4)):
+        out = pa.Table.from_batches(list(jaccard_join._neighbours(iter([batches[0].slice(0, 0), *batches])))).to_pylist()
+    groups = {}
+    for s, d in zip(sig.tolist(), node.tolist()):
+        groups.setdefault(s, set()).add(d)
+    ends = (int(sig[0]), int(sig[-1]))
+    got = [(r["sig"], r["a"]) for r in out if r["kind"] == jaccard_join._MEMBER]
+    assert sorted(got) == sorted((s, d) for s, ds in groups.items() if len(ds) > 2 or s in ends for d in ds)
+    edges = {(r["a"], r["b"]) for r in out if r["kind"] == jaccard_join._EDGE}
+    assert edges == {pair for ds in groups.values() for pair in zip(sorted(ds)[1:], sorted(ds))}
+    assert [r["sig"] for r in out if r["kind"] == jaccard_join._END] == list(ends)
+
+
+def test_bounds_of_pairs_with_other_numbers_of_buckets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (3, 2000, 2060, 2100, 5000)]
+    sets.append(np.unique(np.concatenate([sets[2][:1900], sets[3][:50]])))
+    counts = [*map(jaccard_join.bucket_counts, sets), b""]
+    sizes = np.array([*map(len, sets), 400])
+    a, b = (x.ravel() for x in np.indices((7, 7)))
+    got = jaccard_join.bounds(tuple(pa.array([counts[i] for i in x], pa.binary()) for x in (a, b)), (sizes[a], sizes[b]))
+    for x, y, most in zip(a, b, got):
+        if 6 in (x, y):
+            assert most == min(sizes[x], sizes[y])
+        else:
+            assert most == np.minimum(*jaccard_join.folded([counts[x], counts[y]])).sum() >= len(np.intersect1d(sets[x], sets[y]))
+
+
 def test_repeats(spark, corpus):
     rows = [*corpus, (903, "é" * 150), (None, corpus[0][1])]
     got = repeats.digests(table(spark, rows)).collect()

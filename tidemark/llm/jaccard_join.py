@@ -10,19 +10,25 @@ the sorted hashes.
 Empty parts say nothing, though similar sets may agree in them. So there are ``spare`` parts more
 than ``k + 1``: ``spare + 1`` parts agree, and a set with at most ``spare`` empty ones shares a
 filled one with every similar set. If both have more, both sign again with the domain cut anew.
+Parts are left out the commonest first, as in a prefix filter: empty ones, and then, up to ``spare``
+in all, the parts that most sets have. In one order of all parts the rarest of the ``spare + 1`` that
+two similar sets share is left out by neither.
 
-From signatures to links, linear in their number:
+From signatures to links:
 
 1. one pass over the texts stores size, digest, bucket counts and signatures. Signatures go from
    there straight into the order of (signature, half of the digest, salt): neighbours within a
    signature are joined by an edge between their digests, and a signature or a set with a third of
-   all rows is spread over many tasks. Then the signatures, the bulk of that table, are removed;
-2. components of these edges hold every pair that shares a signature. Equal sets become one node:
-   from here on copies do not take part;
-3. a component too large for one block is divided again: blocks of it are compared by the
-   counts of hashes in buckets, whose minima bound every intersection from above, and pairs that
-   cannot be similar stay apart. A set has ``BUCKETS`` buckets, or as many more as keep
-   ``IN_BUCKET`` hashes in each on average: fuller buckets tell large sets apart no more;
+   all rows is spread over many tasks. Then the signatures, the bulk of that table, are removed.
+   Equal sets become one node: from here on copies do not take part;
+2. the ends of an edge are compared by the counts of hashes in buckets, whose minima bound every
+   intersection from above. A set has ``BUCKETS`` buckets, or as many more as keep ``IN_BUCKET``
+   hashes in each on average: fuller buckets tell large sets apart no more. Components of the edges
+   that remain gather near copies by as many edges as they have signatures;
+3. of a signature that more than two sets have, the pairs in different components are compared in
+   the same way. Signatures of more than ``CROWD`` sets are left out first, as far as sets can spare
+   them; what is left of them is compared in blocks. So the pairs are in proportion to
+   the signatures, unless texts share more common parts than they have to spare;
 4. each component's distinct sets are compared exactly, in blocks of bounded size: only pairs
    of blocks whose sizes allow a link meet, and a block pair yields a spanning forest of links;
 5. components of the links are the result, which each row takes from its set by digest.
@@ -39,8 +45,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents_of, shuffle_partitions, slices, stored, stored_at
@@ -57,6 +64,10 @@ BUCKETS, IN_BUCKET = 256, 8
 PIECE = 1 << 20
 #: Places that rows of one set and signature are dealt to.
 SALTS = 256
+#: Sets of one signature whose pairs are listed; a signature that more have is left out where it can be spared.
+CROWD = 32
+#: Bits of a signature that say which cut of which pair of bands it is of, and bits for the spare parts of each.
+GROUP_BITS, SPARE_BITS = 3, 7
 _U = np.uint64
 
 
@@ -151,14 +162,18 @@ class Layout:
 
     def signatures(self, hashes: np.ndarray) -> np.ndarray:
         """PartEnum signatures of a set in both pairs of bands it belongs to; signed 64 bit."""
+        return self.signed(hashes)[0]
+
+    def signed(self, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+        """The signatures, and how many of each group (their last bits) need not be used, ``SPARE_BITS`` a group."""
         if not len(hashes):
-            return np.empty(0, dtype=np.int64)
-        own = self.band(len(hashes))
+            return np.empty(0, dtype=np.int64), 0
+        own, left = self.band(len(hashes)), 0
         out: list[np.ndarray] = []
         for pair in (own - 1, own):
             if pair >= 0:
-                _sign(hashes, self.differing(pair) + 1, self.spare(pair), pair, out)
-        return np.unique(np.concatenate(out)).view(np.int64)
+                left |= _sign(hashes, self.differing(pair) + 1, self.spare(pair), pair, out)
+        return np.unique(np.concatenate(out)).view(np.int64), left
 
     def spare(self, j: int) -> int:
         """Parts beyond those that can differ: more than a set of bands j and j + 1 often has empty."""
@@ -172,8 +187,11 @@ class Layout:
         return self._spare[j]
 
 
-def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.ndarray]) -> None:
-    """Hashes of the filled parts of ``need + spare`` parts, at least ``1 + spare`` of which are equal in similar sets."""
+def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.ndarray]) -> int:
+    """Hashes of the filled parts of ``need + spare`` parts, at least ``1 + spare`` of which are equal in similar sets.
+
+    Returns how many of them can be spared yet, at the place of their group.
+    """
     parts = need + spare
     for cut in range(RECUTS + 1):
         salt = mix(np.array([(pair + 1) * (RECUTS + 1) + cut], dtype=np.uint64))[0]
@@ -184,11 +202,15 @@ def _sign(hashes: np.ndarray, need: int, spare: int, pair: int, out: list[np.nda
             sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(values ^ salt), dtype=np.uint64)])
             numbers = np.arange(parts, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)
             signed_parts = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(salt + numbers))
+        group = (pair % 2) * (RECUTS + 1) + cut
+        signed_parts = signed_parts >> _U(GROUP_BITS) << _U(GROUP_BITS) | _U(group)
         filled = edges[1:] > edges[:-1]
         # The last cut keeps empty parts too: from there on nothing is left to chance.
         out.append(signed_parts[filled] if cut < RECUTS else signed_parts)
-        if parts - int(filled.sum()) <= spare:
-            return
+        left = spare - (parts - int(filled.sum()))
+        if left >= 0:
+            return min(left, (1 << SPARE_BITS) - 1) << SPARE_BITS * group
+    return 0
 
 
 def bucket_counts(hashes: np.ndarray) -> bytes:
@@ -212,17 +234,17 @@ def folded(counts: list[bytes]) -> np.ndarray:
     return matrix
 
 
-_SHINGLED = "doc_id long, n long, d1 long, d2 long, buckets binary, sigs array<long>"
+_SHINGLED = "doc_id long, n long, d1 long, d2 long, buckets binary, spare long, sigs array<long>"
 
 
 def shingled(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
-    """(doc_id, n, d1, d2, buckets, sigs): number, digest, bucket counts and signatures of the shingles of every whole text."""
+    """(doc_id, n, d1, d2, buckets, spare, sigs): number, digest, bucket counts and signatures of the shingles of every whole text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in slices(batches):
             sets = [shingles(text) for text in batch.column(1).to_pylist()]
-            sigs = [layout.signatures(s) for s in sets]
+            sigs, spare = zip(*(layout.signed(s) for s in sets))
             digests = [digest(s) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32)
             columns = [
@@ -231,54 +253,80 @@ def shingled(docs: DataFrame, words: int, layout: Layout) -> DataFrame:
                 pa.array([d[0] for d in digests], pa.int64()),
                 pa.array([d[1] for d in digests], pa.int64()),
                 pa.array([bucket_counts(s) for s in sets], pa.binary()),
+                pa.array(spare, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs), pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", "buckets", "sigs"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", "buckets", "spare", "sigs"])
 
     return docs.mapInArrow(scan, _SHINGLED)
 
 
+_EDGE, _END, _MEMBER = 0, 1, 2
+_NEIGHBOURS = "kind byte, part int, a long, b long, sig long"
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between rows that follow each other in one signature; and the part's first and last row."""
+    """Edges between rows that follow each other in one signature; the members of each signature that more than
+    two nodes have here, or that may go on in another part; and the part's first and last row."""
     part = TaskContext.get().partitionId()
-    last: tuple[int, int] | None = None
+    # Of the last signature: its rows if they are not given out yet, two at most; else the last row, given out.
+    sigs, nodes, given = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), False
     first: tuple[int, int] | None = None
 
-    def rows(a, b, sig, edge: bool) -> pa.RecordBatch:
-        flags = pa.array(np.full(len(a), edge))
+    def rows(kind: int, a, b, sig) -> pa.RecordBatch:
+        kinds = pa.array(np.full(len(a), kind, dtype=np.int8))
         parts = pa.array(np.full(len(a), part, dtype=np.int32))
         return pa.RecordBatch.from_arrays(
-            [flags, parts, pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sig, pa.int64())],
-            names=["edge", "part", "a", "b", "sig"],
+            [kinds, parts, pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sig, pa.int64())],
+            names=["kind", "part", "a", "b", "sig"],
         )
 
+    def members(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        return rows(_MEMBER, node, np.zeros(len(node), dtype=np.int64), sig)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, doc = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if last is not None:
-            sig, doc = np.concatenate([[last[0]], sig]), np.concatenate([[last[1]], doc])
-        else:
-            first = int(sig[0]), int(doc[0])
-        last = int(sig[-1]), int(doc[-1])
-        same = (sig[1:] == sig[:-1]) & (doc[1:] != doc[:-1])
-        pairs = np.unique(np.stack([doc[1:][same], doc[:-1][same]]), axis=1)
+        sig, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        opening = first is None
+        if first is None:
+            first = int(sig[0]), int(node[0])
+        sig, node = np.concatenate([sigs, sig]), np.concatenate([nodes, node])
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
+        sig, node = sig[new], node[new]
+        same = sig[1:] == sig[:-1]
+        pairs = np.unique(np.stack([node[1:][same], node[:-1][same]]), axis=1)
         if pairs.shape[1]:
-            yield rows(pairs[0], pairs[1], np.zeros(pairs.shape[1], dtype=np.int64), True)
-    if last is not None and first is not None:
-        # Two rows: (first doc, 0, first signature), (last doc, 1, last signature).
-        yield rows([first[1], last[1]], [0, 1], [first[0], last[0]], False)
-
-
-def signature_edges(rows: DataFrame) -> tuple[DataFrame, str]:
-    """(a, b): edges that connect all sets of each signature, from (sig, node, salt); and the folder they are stored in."""
+            yield rows(_EDGE, pairs[0], pairs[1], np.zeros(pairs.shape[1], dtype=np.int64))
+        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        counts = np.diff(np.concatenate([starts, [len(sig)]]))
+        many = counts > 2
+        many[0] |= opening or given
+        give = np.repeat(many, counts)
+        give[0] &= not given
+        if give.any():
+            yield members(sig[give], node[give])
+        given = bool(many[-1])
+        held = slice(len(sig) - 1 if given else int(starts[-1]), None)
+        sigs, nodes = sig[held], node[held]
+    if first is not None:
+        if not given:
+            yield members(sigs, nodes)
+        # Two rows: (first node, 0, first signature), (last node, 1, last signature).
+        yield rows(_END, [first[1], int(nodes[-1])], [0, 1], [first[0], int(sigs[-1])])
+
+
+def signature_edges(rows: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """Of (sig, node, salt): edges (a, b) that connect all sets of each signature; (sig, node) of the signatures that
+    more than two sets have, and of some others, rarely twice; and the folder they are stored in."""
     spark = rows.sparkSession
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "sig", "node", "salt").sortWithinPartitions("sig", "node")
-    found, folder = stored_at(ordered.select("sig", "node").mapInArrow(_neighbours, "edge boolean, part int, a long, b long, sig long"), "signature-edges")
+    found, folder = stored_at(ordered.select("sig", "node").mapInArrow(_neighbours, _NEIGHBOURS), "signature-edges")
     # Two rows a part: a signature that goes on in the next part is joined across the border.
-    ends = found.filter(~F.col("edge")).orderBy("part", "b").select("a", "sig").collect()
+    ends = found.filter(F.col("kind") == _END).orderBy("part", "b").select("a", "sig").collect()
     across = [(y["a"], x["a"]) for x, y in zip(ends[1::2], ends[2::2]) if x["sig"] == y["sig"] and x["a"] != y["a"]]
-    return found.filter("edge").select("a", "b").unionByName(spark.createDataFrame(across, "a long, b long")), folder
+    edges = found.filter(F.col("kind") == _EDGE).select("a", "b").unionByName(spark.createDataFrame(across, "a long, b long"))
+    return edges, found.filter(F.col("kind") == _MEMBER).select("sig", F.col("a").alias("node")), folder
 
 
 def similar(inter: np.ndarray, left: np.ndarray, right: np.ndarray, least: tuple[int, int]) -> np.ndarray:
@@ -295,10 +343,11 @@ def links_within(sets: list[np.ndarray], sides: np.ndarray, least: tuple[int, in
     column, owner = column[shared], owner[shared]
     _, column = np.unique(column, return_inverse=True)
     inter = np.zeros((m, m), dtype=np.float32)
-    width = max(256, (32 << 20) // (4 * m))
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    width = min(max(256, (32 << 20) // (4 * m)), columns)
+    for start in range(0, columns, max(width, 1)):
         a, b = np.searchsorted(column, [start, start + width])
         block = np.zeros((m, width), dtype=np.float32)
         block[owner[a:b], column[a:b] - start] = 1
@@ -343,8 +392,94 @@ def possible(counts: np.ndarray, sizes: np.ndarray, known: np.ndarray, sides: np
     return pairs | pairs.T
 
 
-def divided(members: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame:
-    """The members of large candidate components, in smaller components that still hold every similar pair."""
+def bounds(counts: tuple[pa.Array, pa.Array], sizes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The most that two sets of each row can have in common, judging by bucket counts."""
+    most = np.minimum(*sizes)
+    widths = [pc.binary_length(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in counts]
+    known = np.flatnonzero((widths[0] > 0) & (widths[1] > 0))
+    if not len(known):
+        return most
+    # Rows of the same two numbers of buckets are one matrix a side.
+    shapes, shape = np.unique(np.stack([w[known] for w in widths]), axis=1, return_inverse=True)
+    for k, shaped in enumerate(shapes.T):
+        at, width = known[shape.ravel() == k], int(shaped.min())
+        sides = [np.frombuffer(b"".join(c.take(pa.array(at)).to_pylist()), dtype=np.uint8) for c in counts]
+        left, right = (x.reshape(len(at), -1, width).sum(axis=1, dtype=np.uint16) for x in sides)
+        most[at] = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+    return most
+
+
+def possible_edges(pairs: DataFrame, sets: DataFrame, layout: Layout) -> DataFrame:
+    """Those of the pairs (a, b) that may be similar, judging by size and bucket counts; sets: (node, n, buckets)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, size=2048):
+            sizes = tuple(batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
+            may = similar(bounds((batch.column(4), batch.column(5)), sizes), *sizes, layout.least)
+            yield batch.select(["a", "b"]).filter(pa.array(may))
+
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
+    end = lambda name: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("buckets").alias(f"in_{name}"))
+    near = F.least("n_a", "n_b") * layout.least[1] >= F.greatest("n_a", "n_b") * layout.least[0]
+    both = once.join(end("a"), "a").join(end("b"), "b").filter(near)
+    return both.select("a", "b", "n_a", "n_b", "in_a", "in_b").mapInArrow(compare, "a long, b long")
+
+
+def spared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members (sig, node) without the commonest signatures of each set, as many as it can spare; sets: (node, spare)."""
+    counted = members.groupBy("sig").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD)
+    common = stored(counted, "common-signatures")
+    group = F.col("sig").bitwiseAND((1 << GROUP_BITS) - 1)
+    commonest = Window.partitionBy("node", "group").orderBy(F.col("m").desc(), "sig")
+    own = members.join(common, "sig").join(sets.select("node", "spare"), "node").withColumn("group", group)
+    left = F.expr(f"shiftright(spare, int({SPARE_BITS} * group))").bitwiseAND((1 << SPARE_BITS) - 1)
+    kept = own.withColumn("at", F.row_number().over(commonest)).filter(F.col("at") > left).select("sig", "node")
+    return members.join(common.select("sig"), "sig", "left_anti").unionByName(kept)
+
+
+def candidates(edges: DataFrame, members: DataFrame, sets: DataFrame, layout: Layout) -> DataFrame:
+    """(node, component): components that hold every similar pair; sets that share no signature of use are in none.
+
+    edges and members: as ``signature_edges`` has them; sets: (node, n, buckets, spare).
+    """
+    near = components(possible_edges(edges, sets, layout))
+    component = F.coalesce("component", "node").alias("component")
+    kept = spared(members, sets).join(near, "node", "left").select("sig", "node", component)
+    kept = stored(kept, "signature-members")
+    # Sets of one component are compared anyway.
+    spread = kept.groupBy("sig").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("least"), F.count("*").alias("m")
+    )
+    apart = kept.join(spread.filter("x < y").select("sig", "least", "m"), "sig")
+    lists = apart.filter(F.col("m") <= CROWD).groupBy("sig").agg(F.collect_set(F.struct("node", "component")).alias("of"))
+    others = "filter(of, y -> y.node > x.node AND y.component != x.component)"
+    listed = F.expr(f"flatten(transform(of, x -> transform({others}, y -> struct(x.node AS a, y.node AS b))))")
+    more = possible_edges(lists.select(F.explode(listed).alias("p")).select("p.a", "p.b"), sets, layout)
+    known = near.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    crowded = stored(apart.filter(F.col("m") > CROWD), "crowded")
+    if not crowded.isEmpty():
+        known = known.unionByName(crowd_edges(_crowds(crowded), sets, layout))
+    return components(known.unionByName(more))
+
+
+def _crowds(crowded: DataFrame) -> DataFrame:
+    """(crowd, node, component): sets to be compared with each other, from (sig, node, component, least, m).
+
+    Signatures that have much the same sets, as those of a family of copies, are one crowd; signatures that
+    only chain together are one each.
+    """
+    joint = components(crowded.select(F.col("node").alias("a"), F.col("least").alias("b"))).withColumnRenamed("component", "joint")
+    sigs = crowded.select("sig", F.col("least").alias("node"), "m").distinct().join(joint, "node").select("sig", "joint", "m")
+    alone = sigs.groupBy("joint").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("pairs"))
+    whole = joint.groupBy("joint").agg(F.count("*").cast("double").alias("c"))
+    best = whole.join(alone, "joint").select("joint", (F.col("c") * F.col("c") <= F.col("pairs")).alias("whole"))
+    crowd = F.when(F.col("whole"), F.col("joint")).otherwise(F.col("sig")).alias("crowd")
+    found = crowded.join(sigs.join(best, "joint").select("sig", crowd), "sig").select("crowd", "node", "component")
+    return stored(found.distinct(), "crowds")
+
+
+def crowd_edges(crowds: DataFrame, sets: DataFrame, layout: Layout) -> DataFrame:
+    """Edges (a, b) that connect the sets of a crowd that may be similar, but for those already in one component."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, rows = None, []
@@ -352,9 +487,10 @@ def divided(members: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame
         def found() -> pa.RecordBatch:
             edges = []
             if len(rows) > 1:
-                sides, ids, sizes, counts = zip(*rows)
+                sides, ids, labels, sizes, counts = zip(*rows)
                 known = np.array([len(c) > 0 for c in counts])
-                pairs = possible(folded(counts), np.array(sizes, dtype=np.int64), known, np.array(sides), layout.least)
+                n = np.array(sizes, dtype=np.int64)
+                pairs = _apart(folded(counts), n, known, np.array(sides), np.array(labels), layout.least)
                 edges = [(ids[x], ids[y]) for x, y in _forest(pairs)]
             return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
@@ -366,12 +502,31 @@ def divided(members: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame
                 rows.append(row)
         yield found()
 
-    spark = members.sparkSession
-    routed = _blocks(members, layout.growth).join(classes.select("node", "n", "buckets"), "node")
-    keyed = routed.select(F.to_json("task").alias("task"), "side", "node", "n", "buckets")
+    spark = crowds.sparkSession
+    sized = crowds.join(sets.select("node", "n"), "node").select("node", F.col("crowd").alias("component"), "n")
+    labels = crowds.select("node", F.col("component").alias("label")).distinct()
+    routed = _blocks(sized, layout.growth).join(labels, "node").join(sets.select("node", "n", "buckets"), "node")
+    keyed = routed.select(F.to_json("task").alias("task"), "side", "node", "label", "n", "buckets")
     ordered = keyed.repartition(shuffle_partitions(spark), "task").sortWithinPartitions("task", "side", "node")
-    parts = components(ordered.mapInArrow(compare, "a long, b long"))
-    return members.drop("component").join(parts, "node").select("node", "component", "n")
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
+def _apart(
+    counts: np.ndarray, sizes: np.ndarray, known: np.ndarray, sides: np.ndarray, labels: np.ndarray, least: tuple[int, int]
+) -> np.ndarray:
+    """As ``possible``, but pairs within the label that most of the sets have are not looked at."""
+    _, number = np.unique(labels, return_inverse=True)
+    main, here = number == np.bincount(number).argmax(), sides == sides[0]
+    if here.all():
+        looks = [(here, main, True), (~main, here, False)]
+    else:
+        looks = [(~(main & here), here, True), (here == main, here, True)]
+    pairs = np.zeros((len(sizes), len(sizes)), dtype=bool)
+    for chosen, side, across in looks:
+        at = np.flatnonzero(chosen)
+        if len(at) > 1 and not (across and (side[at] == side[at[0]]).all()):
+            pairs[np.ix_(at, at)] |= possible(counts[at], sizes[at], known[at], side[at], least)
+    return pairs
 
 
 def _blocks(members: DataFrame, growth: float) -> DataFrame:
@@ -457,7 +612,7 @@ def _numbered(filled: DataFrame) -> DataFrame:
 
 
 def _classes(filled: DataFrame, numbered: DataFrame) -> DataFrame:
-    """The numbered sets with bucket counts, from one row of their first id.
+    """The numbered sets with bucket counts and what they can spare, from one row of their first id.
 
     Found by id and digest, so the rows of a large family of copies do not meet in one place.
     """
@@ -465,7 +620,7 @@ def _classes(filled: DataFrame, numbered: DataFrame) -> DataFrame:
     same = [F.col(c) == F.col(f"{c}_") for c in ("n", "d1", "d2")]
     found = filled.join(own, (F.col("doc_id") == F.col("first")) & same[0] & same[1] & same[2])
     once = found.dropDuplicates(["doc_id", "n", "d1", "d2"])
-    return stored(once.select("node", "n", "d1", "d2", "first", "buckets"), "sets")
+    return stored(once.select("node", "n", "d1", "d2", "first", "buckets", "spare"), "sets")
 
 
 def _shared_ids(rows: DataFrame) -> DataFrame:
@@ -483,21 +638,18 @@ def linked_documents(
     signed, folder = stored_at(shingled(docs, words, layout), "shingled")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("short").alias("salt")
     # Sets that share half a digest by chance would be candidates of each other's partners: harmless.
-    edges, edge_folder = signature_edges(signed.filter(with_words).select(F.explode("sigs").alias("sig"), F.col("d1").alias("node"), salt))
+    rows = signed.filter(with_words).select(F.explode("sigs").alias("sig"), F.col("d1").alias("node"), salt)
+    edges, sharers, edge_folder = signature_edges(rows)
     sized = stored(signed.drop("sigs"), "sized")
     folders.remove(docs.sparkSession, folder)
     filled = sized.filter(with_words)
     numbered = _numbered(filled)
     classes = _classes(filled, numbered)
-    candidates = components(edges).withColumnRenamed("node", "d1")
+    found = candidates(edges, sharers, classes.select(F.col("d1").alias("node"), "n", "buckets", "spare"), layout)
     folders.remove(docs.sparkSession, edge_folder)
-    members = stored(numbered.select("node", "n", "d1").join(candidates, "d1").select("node", "component", "n"), "candidates")
-    crowds = members.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
-    crowds = crowds.withColumn("large", (F.col("c") > BLOCK_SETS) | (F.col("s") > BLOCK_SHINGLES))
-    grouped = members.join(crowds.select("component", "large"), "component")
-    small = grouped.filter(~F.col("large")).select("node", "component", "n")
-    parted = stored(divided(grouped.filter("large").select("node", "component", "n"), classes, layout), "divided")
-    links = verified_links(docs.filter(F.col("doc_id").isNotNull()), small.unionByName(parted), classes, words, layout)
+    members = numbered.select("node", "n", "d1").join(found.withColumnRenamed("node", "d1"), "d1")
+    members = stored(members.select("node", "component", "n"), "candidates")
+    links = verified_links(docs.filter(F.col("doc_id").isNotNull()), members, classes, words, layout)
 
     same_set = ["n", "d1", "d2"]
     rows = filled.select("doc_id", *same_set).join(numbered.select("node", *same_set), same_set)
